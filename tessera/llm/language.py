@@ -2,8 +2,8 @@
 
 Texts become TF-IDF vectors of hashed letter n-grams (2 and 3 characters, lower case, other characters as one space), scaled
 to length one. Spherical k-means gives each language several centroids, from a bounded sample of labelled rows; a text gets
-the language of the centroid with the highest cosine. A text further from all centroids than any of the sample, by a margin,
-is rejected, as is one without letters.
+the language of the centroid with the highest cosine. A text further from all centroids than any of the sample, by a margin
+that depends on its length, is rejected, as is one without letters.
 """
 
 import numpy as np
@@ -16,8 +16,9 @@ from .common import mix, prepare
 #: Fitting takes at most SAMPLE rows in all and PER_LANGUAGE of a language.
 SAMPLE, PER_LANGUAGE = 8000, 400
 DIMS, CENTROIDS, ROUNDS, GRAMS = 4096, 4, 8, (2, 3)
-#: A text is rejected below MARGIN times the least cosine of the sample. Texts with fewer n-grams than FEW have no say there.
-MARGIN, FEW = 0.5, 20
+#: A text is rejected below MARGIN times the least cosine of those in the sample that have FEW different n-grams or more. For
+#: texts with fewer the bound shrinks in proportion, as a short text lies far from every centroid.
+MARGIN, FEW = 0.5, 100
 UNKNOWN = "und"
 _RUN = 1 << 20
 _fold = None
@@ -84,7 +85,7 @@ class Model:
         best = cosine.argmax(axis=1)
         score = np.clip(np.round(cosine[np.arange(len(texts)), best].astype(float), 6), 0, 1)
         names = [self.names[self.languages[b]] if h else UNKNOWN for b, h in zip(best, has, strict=True)]
-        return names, np.where(has, score, 0.0), ~has | (score < self.least)
+        return names, np.where(has, score, 0.0), ~has | (score < self.least * np.minimum(1, (n > 0).sum(axis=1) / FEW))
 
 
 def k_means(v: np.ndarray, k: int) -> np.ndarray:
@@ -115,10 +116,8 @@ def fit(texts: list[str], langs: list[str], dims: int = DIMS) -> Model:
     groups = [k_means(v[langs == x], CENTROIDS) for x in names]
     model.centroids, model.languages = np.concatenate(groups), np.repeat(np.arange(len(names)), [len(g) for g in groups])
     own = (v @ model.centroids.T).max(axis=1)
-    long = n.sum(axis=1) >= FEW
-    model.least = float(MARGIN * (own[long].min() if long.any() else 0.0))
-    if (~long).any():
-        model.least = min(model.least, float(MARGIN * own[~long].min()))
+    long = (n > 0).sum(axis=1) >= FEW
+    model.least = float(MARGIN * own[long].min()) if long.any() else 0.0
     return model
 
 
