@@ -5,12 +5,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_KINDS = {"string": T.StringType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "bigint": T.LongType(), "array<string>": T.ArrayType(T.StringType()), "array<float>": T.ArrayType(T.FloatType())}
+
+
 def _schema(spec: str, nullable: tuple[str, ...] = ()) -> T.StructType:
-    fields = T.StructType.fromDDL(spec).fields
-    return T.StructType([T.StructField(f.name, f.dataType, f.name in nullable) for f in fields])
+    """A schema from `name kind, ...`, without a session."""
+    pairs = [part.split() for part in spec.split(",")]
+    return T.StructType([T.StructField(name, _KINDS[kind], name in nullable) for name, kind in pairs])
 
 
-UTTERANCE = _schema("utterance_id string, episode_id string, start double, `end` double, speaker string, text string, duration double")
+UTTERANCE = _schema("utterance_id string, episode_id string, start double, end double, speaker string, text string, duration double")
 SPAN = _schema(
     "span_id string, episode_id string, speaker string, speaker_canonical string, speaker_role string, is_expert boolean,"
     "start_time double, end_time double, duration double, text string, utterance_ids array<string>"
