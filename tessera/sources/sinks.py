@@ -32,7 +32,7 @@ def write_embeddings(df: DataFrame, folder: str, overwrite: bool = True) -> dict
     stored = df.sparkSession.read.parquet(folder)
     rows = stored.groupBy("artifact_type").agg(F.count(F.lit(1)).alias("n"), F.first(F.size("embedding")).alias("d"), F.first("model_name").alias("m")).collect()
     meta = {"model_name": rows[0].m if rows else None, "dimension": rows[0].d if rows else 0, "total": sum(r.n for r in rows), "counts": {r.artifact_type: r.n for r in rows}}
-    write_text(df.sparkSession, f"{folder}/_metadata.json", json.dumps(meta, indent=2))
+    write_text(df.sparkSession, f"{folder}/_info.json", json.dumps(meta, indent=2))
     return meta
 
 
@@ -48,7 +48,7 @@ def write_text(spark: SparkSession, path: str, body: str) -> str:
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    return "\n".join(r[0] for r in spark.read.option("wholetext", True).text(path).collect())
+    return "\n".join(r[0] for r in spark.read.format("text").option("wholetext", True).load(path).collect())
 
 
 def write_csv(df: DataFrame, path: str) -> str:

@@ -35,7 +35,7 @@ def _whole(spark: SparkSession, path: str, pattern: str | None = None) -> DataFr
     reader = spark.read.option("wholetext", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.text(path).select(F.col("_metadata.file_path").alias("source_file"), "value")
+    return reader.format("text").load(path).select(F.col("_metadata.file_path").alias("source_file"), "value")
 
 
 def read_jsonl(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
