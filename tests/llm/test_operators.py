@@ -128,7 +128,9 @@ def test_token_files(spark, docs, rows, empty, tmp_path):
 def test_language_id(spark, empty):
     r = random.Random(7)
     pools = {"aa": ["the", "and", "thing", "with"], "bb": ["der", "und", "schön", "nicht"], "cc": ["le", "très", "où", "été"]}
-    rows = [(k, " ".join(r.choice(pools[x]) for _ in range(30)) + ("" if k % 7 else " 123 $$$"), x, "s", 1, True, "", 1, 1, 1, 1, "") for k, x in enumerate(r.choice(list(pools)) for _ in range(300))]
+    for pool in pools.values():  # words of the language's own parts, so that texts have many n-grams
+        pool += ["".join(r.choice(pool[:4]) for _ in range(2)) for _ in range(12)] + ["".join(r.choices(pool[r.randrange(4)], k=7)) for _ in range(40)]
+    rows = [(k, " ".join(r.choice(pools[x]) for _ in range(60)) + ("" if k % 7 else " 123 $$$"), x, "s", 1, True, "", 1, 1, 1, 1, "") for k, x in enumerate(r.choice(list(pools)) for _ in range(300))]
     rows += [(1000, None, "aa", *rows[0][3:]), (1001, "12 $$ 3", "aa", *rows[0][3:]), (1002, "", None, *rows[0][3:]), (1003, "und nicht der", None, *rows[0][3:]), (1004, "".join(map(chr, range(0x4E00, 0x4F00))), None, *rows[0][3:])]
     got = {g["doc_id"]: g for g in rows_of(language.language_id(frame(spark, [*rows, rows[0]])))}
     assert all(g["held_out"] == (zlib.crc32(str(k).encode()) % 3 == 1) for k, g in got.items())
