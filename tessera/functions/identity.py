@@ -24,11 +24,15 @@ def content_hash(c: Column, algorithm: str = "sha256") -> Column:
 def json_string(c: Column) -> Column:
     """A JSON string literal; non-ASCII characters stay."""
     out = F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    short = {"\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
-    plain = out
-    for k in range(32):
-        out = F.replace(out, F.lit(chr(k)), F.lit(short.get(chr(k), f"\\u{k:04x}")))
-    return F.concat(F.lit('"'), F.when(c.rlike(r"[\x00-\x1f]"), out).otherwise(plain), F.lit('"'))
+    short = F.create_map(*[F.lit(x) for pair in {"\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}.items() for x in pair])
+
+    def one(ch: Column) -> Column:
+        code = F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(F.ascii(ch))), 4, "0"))
+        return F.coalesce(F.try_element_at(short, ch), F.when((ch < " ") & (ch != ""), code).otherwise(ch))
+
+    # Control characters are rare: only texts with one are taken apart.
+    escaped = F.when(c.rlike(r"[\x00-\x1f]"), F.array_join(F.transform(F.split(out, ""), one), "")).otherwise(out)
+    return F.concat(F.lit('"'), escaped, F.lit('"'))
 
 
 def json_list(items: Column) -> Column:
