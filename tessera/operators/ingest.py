@@ -53,9 +53,11 @@ def normalise(rows: DataFrame, tie: str = "line") -> DataFrame:
 
 
 def single_episode(rows: DataFrame) -> DataFrame:
-    """rows, or an error when they run if they are of more than one episode."""
-    one = rows.withColumn("_eps", F.size(F.collect_set("episode_id").over(Window.partitionBy())))
-    return one.withColumn("_ok", F.when(F.col("_eps") > 1, F.raise_error(F.lit("utterances of more than one episode")).cast("int")).otherwise(1)).where("_ok = 1").drop("_eps", "_ok")
+    """rows, or an error if they are of more than one episode (one aggregate tells)."""
+    low, high = rows.agg(F.min("episode_id"), F.max("episode_id")).first()
+    if low != high:
+        raise ValueError("utterances of more than one episode")
+    return rows
 
 
 def new_episodes(rows: DataFrame, stored: DataFrame) -> DataFrame:

@@ -192,16 +192,17 @@ def near_duplicates(segments: DataFrame, id_col: str, threshold: float = 0.95, l
     edits = 2 * (1 - threshold) / threshold
     ratio = threshold / (2 - threshold)
 
-    @F.udf("array<struct<q:int,h:long,p:int>>")
-    def pieces(t: str):
-        q = piece_length(len(t), threshold)
-        return [(q, _hash(t[k : k + q]), k) for k in range(0, len(t) - q + 1, q)]
-
-    @F.udf("array<struct<q:int,h:long,p:int>>")
-    def grams(t: str):
-        n = len(t)
-        widths = {piece_length(m, threshold) for m in range(int(n * ratio), int(n / ratio) + 2)}
-        return [(q, _hash(t[k : k + q]), k) for q in sorted(widths) for k in range(n - q + 1)]
+    def row(q: int, t: str, k: int) -> dict:
+        return {"q": q, "h": _hash(t[k : k + q]), "p": k}
+
+    @F.pandas_udf("array<struct<q:int,h:long,p:int>>")
+    def pieces(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [row(q, t, k) for q in (piece_length(len(t), threshold),) for k in range(0, len(t) - q + 1, q)])
+
+    @F.pandas_udf("array<struct<q:int,h:long,p:int>>")
+    def grams(texts: pd.Series) -> pd.Series:
+        widths = lambda n: sorted({piece_length(m, threshold) for m in range(int(n * ratio), int(n / ratio) + 2)})
+        return texts.map(lambda t: [row(q, t, k) for q in widths(len(t)) for k in range(len(t) - q + 1)])
 
     def side(f, name):
         g = texts.select(F.col("rank_id").alias(name), F.length("norm_text").alias(f"n{name}"), F.explode(f("norm_text")).alias("g"))
