@@ -244,3 +244,22 @@ def keyword_counts(beats: DataFrame, words: list[str]) -> DataFrame:
     """How many rows contain each keyword, in lower case."""
     one = beats.agg(*[F.count_if(F.contains(F.lower("text"), F.lit(w.lower()))).alias(w) for w in words])
     return one.unpivot([], words, "keyword", "count")
+
+
+def subset(embeddings: DataFrame, ids: DataFrame) -> DataFrame:
+    """The vectors of some artifacts; ids has artifact_id."""
+    return embeddings.join(ids.select("artifact_id").distinct(), "artifact_id", "left_semi")
+
+
+def search(text: str, corpus: DataFrame, model: Provider, k: int = 3, metric: str = "cosine") -> DataFrame:
+    """The k artifacts nearest to a text: neighbor_id, score, rank."""
+    spark, kind = corpus.sparkSession, dict(corpus.dtypes)["artifact_id"]
+    vector = [float(x) for x in np.asarray(model.encode([text]))[0]]
+    query = spark.createDataFrame([(None, vector)], f"artifact_id {kind}, embedding array<double>")
+    return top_k(query, corpus, k, metric, exclude_self=False).drop("query_id")
+
+
+def cluster_summary(clustered: DataFrame, segments: DataFrame, id_col: str) -> DataFrame:
+    """Each cluster's size, speakers, total and mean duration."""
+    on = clustered.select("artifact_id", "cluster").join(segments, F.col("artifact_id") == F.col(id_col))
+    return on.groupBy("cluster").agg(F.count(F.lit(1)).alias("segments"), F.count_distinct("speaker").alias("speakers"), F.sum("duration").alias("total_duration"), F.avg("duration").alias("avg_duration"))

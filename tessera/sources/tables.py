@@ -1,5 +1,7 @@
 """Readers of stored tables."""
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,3 +68,24 @@ def lookup(spark: SparkSession, path: str, sql: str, **args) -> DataFrame:
     """SQL over a table, which it calls `t`, with named parameters."""
     spark.read.parquet(path).createOrReplaceTempView("t")
     return spark.sql(sql, args=args)
+
+
+def load_latest(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The newest saved catalog of a name, by modification time."""
+    path = latest(spark, f"{folder}/{name}_*.parquet")
+    if path is None:
+        raise FileNotFoundError(f"{folder}/{name}_*.parquet")
+    return spark.read.parquet(path)
+
+
+def embedding_info(spark: SparkSession, folder: str) -> dict:
+    """The metadata beside stored vectors, with `exists`; nothing else where there are none."""
+    if not exists(spark, f"{folder}/_info.json"):
+        return {"exists": False}
+    p, fs = _path(spark, f"{folder}/_info.json")
+    stream = fs.open(p)
+    try:
+        body = bytes(x & 0xFF for x in stream.readAllBytes())
+    finally:
+        stream.close()
+    return {"exists": True, **json.loads(body)}

@@ -6,8 +6,11 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tessera import cli
-from tessera.plans import assessor, report, snapshot
+from tessera.operators import vectors
+from tessera.plans import assessor, manifest, report, snapshot
 from tessera.plans.layout import Lake
 from tessera.sources import sinks, tables
 
@@ -56,6 +59,29 @@ def test_hierarchy(spark, lake):
     assert tables.lookup(spark, lk.path("spans"), "select count(*) as n from t where speaker = :who", who="Ann").first().n > 0
 
 
+def test_schema_manifest_and_vectors(spark, lake):
+    lk, _, _ = lake
+    m = manifest.schema_manifest(lk)
+    s = manifest.schema_statistics(m).first()
+    assert (s.artifacts, s.with_files) == (5, 5) and {r.artifact_type for r in m.where("missing = ''").collect()} == set(manifest.SCHEMA_OF)
+    assert all(r.complies for r in manifest.file_compliance(lk, "spans").collect()) and manifest.artifact_schema("span")[0] == {"name": "span_id", "type": "string", "nullable": False}
+    info = tables.embedding_info(spark, lk.path("embeddings"))
+    assert info["exists"] and info["dimension"] == 384 and info["total"] == sum(info["counts"].values())
+    assert tables.embedding_info(spark, lk.path("embeddings", "v8")) == {"exists": False}
+    e, spans = tables.load_embeddings(spark, lk.path("embeddings"), "span"), spark.read.parquet(lk.path("spans"))
+    model = vectors.HashingProvider()
+    one = spans.orderBy("span_id").first()
+    hit = vectors.search(one.text, e, model, 3).where("rank = 1").first()
+    assert hit.score == pytest.approx(1, abs=1e-5)
+    ids = spans.limit(2).select(F.col("span_id").alias("artifact_id"))
+    assert vectors.subset(e, ids.unionAll(ids)).count() == 2
+    c = vectors.cluster_summary(vectors.clusters(e, 3), spans, "span_id")
+    assert c.agg(F.sum("segments")).first()[0] == spans.count()
+    assert tables.load_latest(spark, lk.catalogs, "episodes").count() >= 4
+    with pytest.raises(FileNotFoundError):
+        tables.load_latest(spark, lk.catalogs, "nothing")
+
+
 def test_incremental_ingest(spark, lake):
     lk, run, root = lake
     assert run("ingest", str(root / "in"), "--pattern", "*.jsonl", "--incremental") == 0
