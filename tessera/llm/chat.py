@@ -68,22 +68,20 @@ def paths(messages: DataFrame) -> DataFrame:
     known = m.select(F.col("id").alias("p"))
     m = m.join(known, F.col("parent") == F.col("p"), "left").select("id", F.col("p").alias("up"), "score")
     state = save(m.select("id", "up", F.when(F.col("up").isNull(), F.col("id")).alias("root"), F.lit(1).cast("long").alias("n"), "score"), "jump0")
-    jumps, before = [state], None
-    while True:
-        above = state.select(F.col("id").alias("a_id"), F.col("up").alias("a_up"), F.col("root").alias("a_root"), F.col("n").alias("a_n"), F.col("score").alias("a_score"))
-        on = state.join(above, F.col("up") == F.col("a_id"), "left")
-        state = save(on.select("id", F.col("a_up").alias("up"), F.coalesce("root", "a_root").alias("root"), (F.col("n") + F.coalesce("a_n", F.lit(0))).alias("n"), (F.col("score") + F.coalesce("a_score", F.lit(0.0))).alias("score")), f"jump{len(jumps)}")
-        left = state.where("up is not null and root is null").count()
-        if left in (0, before):  # those on or below a cycle never get a root
-            break
-        jumps.append(state)
-        before = left
-    parents = jumps[0].where("up is not null").select(F.col("up").alias("p")).distinct()
-    leaves = state.where("root is not null").join(parents, F.col("id") == F.col("p"), "left_anti")
+    # Only messages that don't know their root yet are joined on; jumps[k] has those with an ancestor 2**k above.
+    done, active, jumps, before = state.where("root is not null"), state.where("root is null"), [], None
+    while (left := active.count()) not in (0, before):  # those on or below a cycle never get a root
+        jumps.append(active)
+        above = done.unionByName(active).select(F.col("id").alias("a_id"), F.col("up").alias("a_up"), F.col("root").alias("a_root"), F.col("n").alias("a_n"), F.col("score").alias("a_score"))
+        on = active.join(above, F.col("up") == F.col("a_id"))
+        moved = save(on.select("id", F.col("a_up").alias("up"), F.col("a_root").alias("root"), (F.col("n") + F.col("a_n")).alias("n"), (F.col("score") + F.col("a_score")).alias("score")), f"jump{len(jumps)}")
+        done, active, before = done.unionByName(moved.where("root is not null")), moved.where("root is null"), left
+    parents = state.where("up is not null").select(F.col("up").alias("p")).distinct()
+    leaves = done.join(parents, F.col("id") == F.col("p"), "left_anti")
     best = leaves.groupBy("root").agg(F.max_by(F.struct("id", "n"), F.struct((F.col("score") / F.col("n")).alias("s"), "n", (-F.col("id")).alias("i"))).alias("b"))
     marked = save(best.select("root", (F.col("b.n") - 1).alias("depth"), F.col("b.id").alias("id")), "marked")
     for k in reversed(range(len(jumps))):
-        jump = jumps[k].where("up is not null").select(F.col("id").alias("j"), "up")
+        jump = jumps[k].select(F.col("id").alias("j"), "up")
         more = marked.join(jump, F.col("id") == F.col("j")).select("root", (F.col("depth") - (1 << k)).alias("depth"), F.col("up").alias("id"))
         marked = save(marked.unionByName(more), f"marked{k}")
     return marked
