@@ -169,7 +169,9 @@ def near_pairs(codes: DataFrame, bits: int = BITS, least_block: int = LEAST_BLOC
         found = np.array(found, np.int64).reshape(-1, 2)
         return pa.table({"u": reps[found[:, 0]], "v": reps[found[:, 1]]})
 
-    rows = wanted.join(blocks.select("block", "body"), F.col("b") == F.col("block")).select("pair", "side", "body")
+    # A pair is work, however few its bytes: pairs are dealt to many tasks, which adaptive planning would join again.
+    spread = max(1, min(pairs.shape[1], 8 * per_partition(codes)))
+    rows = wanted.join(blocks.select("block", "body"), F.col("b") == F.col("block")).select("pair", "side", "body").repartition(spread, "pair")
     return rows.groupBy("pair").applyInArrow(compare, "u long, v long")
 
 
