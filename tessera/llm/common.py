@@ -152,15 +152,29 @@ def may_be_in(spark: SparkSession, words: np.ndarray):
     return test
 
 
-def drop_rows(docs: DataFrame, decided: DataFrame, key: str = "doc_id") -> DataFrame:
-    """docs without the rows that decided (key, kept) drops.
+def drop_rows(docs: DataFrame, decided: DataFrame, mark, key: str = "doc_id") -> DataFrame:
+    """docs without the rows that decided (key, mark, kept) drops.
 
-    Only rows whose key may be among the dropped ones are joined; the others, with their texts, are not moved.
-    Of several rows with one key as many stay as decided keeps (equal rows are alike)."""
+    mark: the column of docs that, with the key, tells which row a decision is about; so the very rows decided on stay, also
+    where one key, or null, has several texts. Only rows whose key may be among the dropped ones are joined; the others, with
+    their texts, are not moved. Of rows alike in key and mark as many stay as decided keeps."""
     spark, cols = docs.sparkSession, docs.columns
-    gone = save(decided.groupBy(F.col(key).alias("_key")).agg(F.sum(F.col("kept").cast("long")).alias("_stay"), F.count(F.lit(1)).alias("_all")).where("_stay < _all"), "gone")
-    test = may_be_in(spark, bloom(gone, "_key"))
+    gone = decided.groupBy(F.col(key).alias("_key"), F.col("mark").alias("_mark")).agg(F.sum(F.col("kept").cast("long")).alias("_stay"), F.count(F.lit(1)).alias("_all"))
+    gone = save(gone.where("_stay < _all"), "gone")
+    test = may_be_in(spark, bloom(gone.select("_key").distinct(), "_key"))
     marked = docs.withColumn("_maybe", test(F.col(key).cast("long")) | F.col(key).isNull())
-    rest = marked.where("_maybe").join(gone, F.col(key).eqNullSafe(F.col("_key")), "left")
-    some = rest.where("_stay > 0").withColumn("_nth", F.expr(f"row_number() over (partition by `{key}` order by text)")).where("_nth <= _stay")
+    rest = marked.where("_maybe").withColumn("_own", mark).join(gone, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_own") == F.col("_mark")), "left")
+    some = rest.where("_stay > 0").withColumn("_nth", F.expr(f"row_number() over (partition by `{key}`, _own order by text)")).where("_nth <= _stay")
     return marked.where("not _maybe").select(*cols).unionByName(rest.where("_stay is null").select(*cols)).unionByName(some.select(*cols))
+
+
+def one_of_each(rows: DataFrame, group: str) -> DataFrame:
+    """The decisions that keep one row of each group: rows has id, mark, row and the group. The smallest id stays, any before null."""
+    order = F.struct(F.col("id").isNull(), "id", "mark", "row")
+    groups = rows.groupBy(F.col(group).alias("_group")).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return rows.join(groups, F.col(group) == F.col("_group")).select(F.col("id").alias("doc_id"), "mark", (F.col("row") == F.col("first.row")).alias("kept"))
+
+
+def text_mark(text):
+    """What tells the rows of one id apart: a digest of the text; null counts as an empty one."""
+    return F.sha2(F.coalesce(text, F.lit("")), 256)

@@ -116,7 +116,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """docs without the rows that exact_dedup drops."""
-    return drop_rows(docs, exact_dedup(docs).select("doc_id", "kept"))
+    return drop_rows(docs, exact_dedup(docs).select("doc_id", F.col("text_sha256").alias("mark"), "kept"), F.sha2(normalised(F.col("text")), 256))
 
 
 ORACLE = r"""

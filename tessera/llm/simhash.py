@@ -197,4 +197,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     first = found.withColumn("kept", kept)
     one = first.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))  # of rows with one id one stays
     rows = one.select("doc_id", "kept").unionByName(one.where("n > 1 and doc_id is not null").select("doc_id", F.lit(False).alias("kept")))
-    return drop_rows(docs, rows)
+    return drop_rows(docs, rows.withColumn("mark", F.lit("")), F.lit(""))

@@ -414,3 +414,18 @@ def test_reply_trees_choose_the_best_path(spark):
     assert sorted((g["root"], g["depth"], g["id"]) for g in got) == [(1, 0, 1), (1, 1, 2), (1, 2, 4), (20, 0, 20), (20, 1, 21)]
 
 
+
+
+def test_the_rows_decided_on_stay(spark, rows):
+    """Texts that share an id, or have none: the copies go, the others stay."""
+    r = random.Random(8)
+    a, b, c, d = (words(r, 40) for _ in range(4))
+    some = [(i, t, *rows[0][2:]) for i, t in [(3, a), (None, a), (None, b), (None, c), (None, c), (7, d), (7, b), (8, d), (8, f"{c} x")]]
+    kept = lambda f, x: sorted((x["doc_id"] or 0, x["text"]) for x in rows_of(f(frame(spark, x))))
+    assert kept(exact_dedup.keep_first, some) == sorted([(3, a), (7, b), (0, c), (7, d), (8, f"{c} x")])
+    for seed in (1,):  # the text of the copy comes before or after the others in order
+        x, y = sorted([words(random.Random(seed), 30), words(random.Random(seed + 50), 30)])
+        for copy, own in ((x, y), (y, x)):
+            for i in (None, 5):
+                rows_ = [(3, copy, *rows[0][2:]), (i, copy, *rows[0][2:]), (i, own, *rows[0][2:])]
+                assert kept(exact_dedup.keep_first, rows_) == sorted([(3, copy), (i or 0, own)])
