@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, language, mixing, packing, simhash
+from tessera.llm import exact_dedup, language, mixing, near, packing
 from tessera.llm.common import save, table
 
 
@@ -18,8 +18,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return simhash.keep_one(docs)
+    """One document of each group of near copies: 5-word shingles with a Jaccard likeness of 0.8 or more."""
+    return near.keep_one(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

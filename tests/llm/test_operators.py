@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from tessera.llm import chat, exact_dedup, language, lz, mixing, packing, pii, simhash, substrings, token_files, tokens
+from tessera.llm import chat, exact_dedup, language, lz, mixing, near, packing, pii, simhash, substrings, token_files, tokens
 from tessera.llm.components import components
 
 from .helpers import frame, rows_of, split, table, words
@@ -416,6 +416,62 @@ def test_reply_trees_choose_the_best_path(spark):
 
 
 
+def near_sets(rows):
+    for r in rows:
+        w = split("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in r[1] or ""))
+        yield r, {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def brute_near(rows):
+    """The roots by all pairs of sets with a Jaccard likeness of 0.8 or more, by place in rows."""
+    sets = [s for _, s in near_sets(rows)]
+    up = list(range(len(rows)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]) and root(i) != root(j):
+                up[max(root(i), root(j))] = min(root(i), root(j))
+    return [root(i) for i in range(len(rows))]
+
+
+def near_rows(rows):
+    """Copies with more and more words changed (likeness from 1 to under 0.8), chains of them, and a passage that many texts share."""
+    r = random.Random(21)
+    texts = []
+    for _ in range(6):
+        w = words(r, 200).split()
+        for n in (0, 1, 2, 3, 4, 5, 6):
+            texts.append(" ".join(f"q{n}" if k % 40 == 20 and k // 40 < n else x for k, x in enumerate(w)))
+        for k in range(12):  # each replaces one more stretch of the last one: its ends are linked only by way of others
+            w = [*w[: 10 * k], *words(r, 6).split(), *w[10 * k + 6 :]]
+            texts.append(" ".join(w))
+    passage = words(r, 30)
+    texts += [f"{passage} {words(r, n)}" for n in (0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 12, 15, 20, 30) for _ in range(4)]
+    texts += ["", " ", None, "a b", "A  B", "a b c"]
+    return [*rows, *((1000 + k, t, *rows[0][2:]) for k, t in enumerate(texts))]
+
+
+def test_near_dedup_links_every_pair(spark, rows, empty):
+    every = near_rows(rows)
+    roots = brute_near(every)
+    best = {}
+    for k, r in zip(roots, every, strict=True):
+        best[k] = min(best.get(k, r[0]), r[0])
+    kept = rows_of(near.keep_one(frame(spark, every)))
+    assert sorted(x["doc_id"] for x in kept) == sorted(best.values())
+    assert len(best) < len(every) - 60 and list(kept[0]) == frame(spark, rows[:1]).columns
+    assert len(rows_of(simhash.keep_one(frame(spark, every)))) > len(best)  # four bits of 64 miss some
+    assert rows_of(near.keep_one(empty)) == []
+    import corpus_pipeline
+
+    assert len(rows_of(corpus_pipeline.drop_near_copies(spark, frame(spark, every), ""))) == len(best)
+
+
 def test_the_rows_decided_on_stay(spark, rows):
     """Texts that share an id, or have none: the copies go, the others stay."""
     r = random.Random(8)
@@ -423,9 +479,10 @@ def test_the_rows_decided_on_stay(spark, rows):
     some = [(i, t, *rows[0][2:]) for i, t in [(3, a), (None, a), (None, b), (None, c), (None, c), (7, d), (7, b), (8, d), (8, f"{c} x")]]
     kept = lambda f, x: sorted((x["doc_id"] or 0, x["text"]) for x in rows_of(f(frame(spark, x))))
     assert kept(exact_dedup.keep_first, some) == sorted([(3, a), (7, b), (0, c), (7, d), (8, f"{c} x")])
+    assert kept(near.keep_one, some) == sorted([(3, a), (7, b), (7, d), (8, f"{c} x")])
     for seed in (1,):  # the text of the copy comes before or after the others in order
         x, y = sorted([words(random.Random(seed), 30), words(random.Random(seed + 50), 30)])
         for copy, own in ((x, y), (y, x)):
             for i in (None, 5):
                 rows_ = [(3, copy, *rows[0][2:]), (i, copy, *rows[0][2:]), (i, own, *rows[0][2:])]
-                assert kept(exact_dedup.keep_first, rows_) == sorted([(3, copy), (i or 0, own)])
+                assert kept(exact_dedup.keep_first, rows_) == kept(near.keep_one, rows_) == sorted([(3, copy), (i or 0, own)])
