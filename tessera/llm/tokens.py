@@ -36,6 +36,12 @@ def byte_letters() -> dict[int, int]:
 _LETTERS = byte_letters()
 
 
+def latin(core: str) -> bool:
+    """Whether a word, with or without the blank before it, has letters below U+0250 only."""
+    letters = core[1:] if core[:1] == " " else core
+    return letters.isalpha() and max(letters) < "\u0250"
+
+
 class Encoder:
     """Ids of texts by the tokenizer of one file."""
 
@@ -60,10 +66,13 @@ class Encoder:
             return pc.split_pattern(pa.array([t.replace("\n", " ") for t in texts], pa.string()), " ")
         return pc.split_pattern(pa.array([t.replace("\n", "\0\n\0").replace(" ", "\0 ") for t in texts], pa.string()), "\0")
 
+    def normal(self, core: str) -> str:
+        if self.normalizer is None:
+            return core
+        return core.lower() if core.isascii() else self.normalizer.normalize_str(core)
+
     def word(self, core: str) -> bytes:
-        """A word of Latin letters, with or without the blank before it, by the model alone."""
-        if self.normalizer is not None:
-            core = core.lower() if core.isascii() else self.normalizer.normalize_str(core)
+        """A normalised word of Latin letters, with or without the blank before it, by the model alone."""
         units = core.replace(" ", "\u0120") if core.isascii() else core.encode().decode("latin-1").translate(_LETTERS)
         return array("I", [t.id for t in self.model.tokenize(units)]).tobytes()
 
@@ -72,11 +81,11 @@ class Encoder:
         cache, made, rest = self.cache, {}, []
         for p in new:
             core = p.rstrip(_TAIL)
-            letters = core[1:] if core[:1] == " " else core
-            # Latin letters only: there the library's idea of a letter and Python's are surely the same
-            if letters.isalpha() and max(letters) < "\u0250" and len(core) <= LONGEST_PIECE:
+            # Latin letters only: there the library's idea of a letter and Python's are surely the same. What counts is the
+            # normalised word, as the library cuts that one: U+0130 becomes an i and a mark, which is no letter.
+            if latin(core) and len(core) <= LONGEST_PIECE and latin(normal := self.normal(core)):
                 if (ids := cache.get(core)) is None:
-                    ids = cache[core] = self.word(core)
+                    ids = cache[core] = self.word(normal)
                 if len(core) < len(p):
                     tail = p[len(core) :]
                     if (end := cache.get(tail)) is None:

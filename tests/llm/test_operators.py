@@ -58,6 +58,13 @@ def test_cached_encoding_is_the_library_s(path):
         assert [np.frombuffer(g, "<u4").tolist() for g in got] == [t.encode(x, add_special_tokens=False).ids + [1] for x in texts]
 
 
+@pytest.mark.parametrize("path", [WORD_BPE, BYTE_BPE])
+def test_every_latin_letter_is_encoded_as_by_the_library(path):
+    t, letters = library(path), [chr(c) for c in range(0x250) if chr(c).isalpha()]
+    texts = [w for c in letters for w in (c, f"{c}stanbul", f"a{c}b.", f"ab {c}c", f"{c}{c}")]
+    assert [list(memoryview(x).cast("I")) for x in tokens.Encoder(path).encode(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_lz_fingerprints(docs, rows, empty):
     got = rows_of(lz.neighbour_likeness(docs, parts=5))
     order = sorted(rows, key=lambda r: (r[0], r[1] or ""), reverse=True)
