@@ -11,20 +11,26 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import norm, unit
 
+#: Characters that a model's provider takes of a text, and texts of one call.
 MAX_TEXT, BATCH = 8192, 32
 
 
 class Provider(Protocol):
-    """What turns texts into vectors. Providers are pickled to the executors; heavy state belongs into load()."""
+    """What turns texts into vectors. Providers are pickled to the executors; heavy state belongs into load().
+
+    max_text: characters of a text that the model takes, or None where it takes any."""
 
     name: str
     dimension: int
+    max_text: int | None
 
     def encode(self, texts: list[str]) -> np.ndarray: ...
 
 
 class HashingProvider:
-    """Deterministic vectors without a model: signed hashes of words, scaled to length one."""
+    """Deterministic vectors without a model: signed hashes of words of whole texts, scaled to length one."""
+
+    max_text = None
 
     def __init__(self, dimension: int = 384) -> None:
         self.name, self.dimension = f"hashing-{dimension}", dimension
@@ -41,6 +47,8 @@ class HashingProvider:
 class LocalModelProvider:
     """A sentence-transformers model, loaded once per worker; that library is optional."""
 
+    max_text = MAX_TEXT
+
     def __init__(self, name: str = "all-MiniLM-L6-v2", device: str = "cpu", dimension: int = 384) -> None:
         self.name, self.device, self.dimension = name, device, dimension
 
@@ -58,6 +66,7 @@ class LocalModelProvider:
 class RemoteProvider:
     """An HTTP embeddings endpoint that takes {"model", "input"} and answers {"data": [{"embedding"}]}."""
 
+    max_text = MAX_TEXT
     DIMENSIONS = {"text-embedding-3-small": 1536, "text-embedding-3-large": 3072, "text-embedding-ada-002": 1536}
 
     def __init__(self, name: str = "text-embedding-3-small", url: str = "", key: str = "", timeout: float = 30, retries: int = 3) -> None:
@@ -104,11 +113,11 @@ def working(first: Provider, fallback: Provider | None) -> Provider:
 
 
 def generate(rows: DataFrame, artifact: str, model: Provider, text_col: str = "text", version: str | None = None) -> DataFrame:
-    """Vectors of rows ({artifact}_id, text): artifact_id, artifact_type, embedding, model_name, model_version. Texts are cut at MAX_TEXT."""
+    """Vectors of rows ({artifact}_id, text): artifact_id, artifact_type, embedding, model_name, model_version. Texts are cut only at the model's max_text."""
 
     @F.pandas_udf("array<float>")
     def encode(texts: pd.Series) -> pd.Series:
-        return pd.Series(list(np.asarray(model.encode([(t or "")[:MAX_TEXT] for t in texts]), np.float32)))
+        return pd.Series(list(np.asarray(model.encode([(t or "")[: model.max_text] for t in texts]), np.float32)))
 
     return rows.select(F.col(f"{artifact}_id").alias("artifact_id"), F.lit(artifact).alias("artifact_type"), encode(text_col).alias("embedding"), F.lit(model.name).alias("model_name"), F.lit(version).cast("string").alias("model_version"))
 

@@ -260,3 +260,14 @@ def test_providers_and_index(spark):
     assert vectors.clusters(e, 2).select("cluster").distinct().count() == 2
     model, points = vectors.lsh_index(e)
     assert model.approxSimilarityJoin(points, points, 3.0).count() >= 3
+
+
+def test_whole_texts_are_embedded_unless_the_model_is_shorter(spark):
+    texts = ["one " * 3000 + "two " * 3000, "one " * 3000]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = vectors.HashingProvider(64)
+    got = {x["artifact_id"]: np.array(x["embedding"], np.float32) for x in vectors.generate(rows, "doc", model).collect()}
+    assert all(np.array_equal(got[k], model.encode([t])[0]) for k, t in enumerate(texts)) and not np.array_equal(got[0], got[1])
+    model.max_text = vectors.LocalModelProvider.max_text
+    short = {x["artifact_id"]: x["embedding"] for x in vectors.generate(rows, "doc", model).collect()}
+    assert short[0] == short[1]
