@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, drop_rows, per_partition, prepare, save
+from .common import U64, drop_rows, one_of_each, per_partition, prepare, save, text_mark
 from .components import components
 
 WORDS, BITS, FAN = 4, 4, 8
@@ -41,15 +41,16 @@ def fingerprint(text: bytes, words: int = WORDS) -> int:
     return int(np.packbits(2 * total > len(ends), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, fp (the 64 bits as a long)."""
+def fingerprints(docs: DataFrame, words: int, mark) -> DataFrame:
+    """doc_id, row, mark, fp (the 64 bits as a long)."""
 
     def run(batches):
         for b in batches:
             got = np.array([fingerprint(t or b"", words) for t in b["text"].cast(pa.binary()).to_pylist()], U64)
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(got.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["row"], b["mark"], pa.array(got.view(np.int64))], names=["doc_id", "row", "mark", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), mark.alias("mark"), "text")
+    return rows.mapInArrow(run, "doc_id long, row long, mark string, fp long")
 
 
 def gray_rank(fp):
@@ -175,26 +176,33 @@ def near_pairs(codes: DataFrame, bits: int = BITS, least_block: int = LEAST_BLOC
     return rows.groupBy("pair").applyInArrow(compare, "u long, v long")
 
 
-def simhash_groups(docs: DataFrame, words: int = WORDS, bits: int = BITS, least_block: int = LEAST_BLOCK) -> DataFrame:
-    """A row for each row of docs: doc_id, fingerprint (16 hex digits), component_id, group_links (equal fingerprints besides).
+def _groups(docs: DataFrame, words: int, bits: int, least_block: int, mark) -> DataFrame:
+    """doc_id, row, mark, fp, root (the smallest fingerprint of the component), component_id, n (rows of that fingerprint) for each row.
 
-    A null or empty text has fingerprint zero and links as any other; fewer than `words` words make one shingle. Equal
-    fingerprints are one class, represented by its smallest doc_id; a null doc_id stays in its class but never names it
-    (component_id is null where no row of the component has an id). No rows give no rows."""
+    Fingerprints, which are never null, are the nodes; a component's smallest doc_id names it afterwards."""
     prepare(docs.sparkSession)
-    fps = save(fingerprints(docs, words), "fps")
+    fps = save(fingerprints(docs, words, mark), "fps")
     classes = save(fps.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "classes")
-    roots = components(near_pairs(classes.where("rep is not null").select("fp", "rep"), bits, least_block))
-    named = classes.join(roots, F.col("rep") == F.col("node"), "left").where("n > 1 or root is not null").select(F.col("fp").alias("f"), F.coalesce("root", "rep").alias("root"), "n")
+    roots = components(near_pairs(classes.select("fp", F.col("fp").alias("rep")), bits, least_block))
+    linked = classes.join(roots, F.col("fp") == F.col("node"), "left").select(F.col("fp").alias("f"), F.coalesce("root", "fp").alias("root"), "rep", "n")
+    names = linked.groupBy(F.col("root").alias("r")).agg(F.min("rep").alias("name"), F.count(F.lit(1)).alias("fps"))
+    named = linked.join(names, F.col("root") == F.col("r")).where("n > 1 or fps > 1").select("f", "root", "name", "n")
     out = fps.join(save(named, "named"), F.col("fp") == F.col("f"), "left")
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.coalesce("root", "doc_id").alias("component_id"), (F.coalesce("n", F.lit(1)) - 1).cast("long").alias("group_links"))
+    return out.select("doc_id", "row", "mark", "fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("f").isNull(), F.col("doc_id")).otherwise(F.col("name")).alias("component_id"), F.coalesce("n", F.lit(1)).alias("n"))
+
+
+def simhash_groups(docs: DataFrame, words: int = WORDS, bits: int = BITS, least_block: int = LEAST_BLOCK) -> DataFrame:
+    """A row for each row of docs: doc_id, fingerprint (16 hex digits), component_id, group_links (equal fingerprints besides).
+
+    A null or empty text has fingerprint zero and links as any other; fewer than `words` words make one shingle. Rows without
+    an id link as others do, but never name a component (component_id is null where no row of it has an id). No rows give no
+    rows."""
+    found = _groups(docs, words, bits, least_block, F.lit(""))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", (F.col("n") - 1).cast("long").alias("group_links"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs with one document of each component: the one that names it. Rows without an id stay."""
-    found = simhash_groups(docs).select("doc_id", "component_id")
-    kept = F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))
-    first = found.withColumn("kept", kept)
-    one = first.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))  # of rows with one id one stays
-    rows = one.select("doc_id", "kept").unionByName(one.where("n > 1 and doc_id is not null").select("doc_id", F.lit(False).alias("kept")))
-    return drop_rows(docs, rows.withColumn("mark", F.lit("")), F.lit(""))
+    """docs with one row of each component: that of the smallest doc_id, or of any id before a null one."""
+    mark = text_mark(F.col("text"))
+    rows = save(_groups(docs, WORDS, BITS, LEAST_BLOCK, mark).select(F.col("doc_id").alias("id"), "row", "mark", "root"), "rows")
+    return drop_rows(docs, one_of_each(rows, "root"), mark)

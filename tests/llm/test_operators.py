@@ -493,3 +493,25 @@ def test_the_rows_decided_on_stay(spark, rows):
             for i in (None, 5):
                 rows_ = [(3, copy, *rows[0][2:]), (i, copy, *rows[0][2:]), (i, own, *rows[0][2:])]
                 assert kept(exact_dedup.keep_first, rows_) == kept(near.keep_one, rows_) == sorted([(3, copy), (i or 0, own)])
+
+
+def test_simhash_links_by_way_of_rows_without_an_id(spark, rows):
+    """A chain a - b - c of which only the neighbours are within four bits; b has no id."""
+    r = random.Random(3)
+    while True:
+        a = words(r, 300)
+        steps = [a]
+        for k in (1, 2):
+            w = steps[-1].split()
+            w[100 * k] = f"qq{k}"
+            steps.append(" ".join(w))
+        x, y, z = (brute_fingerprint(t) for t in steps)
+        if (x ^ y).bit_count() <= 4 and (y ^ z).bit_count() <= 4 < (x ^ z).bit_count():
+            break
+    other = words(r, 50)
+    some = [(i, t, *rows[0][2:]) for i, t in [(5, steps[0]), (None, steps[1]), (9, steps[2]), (None, other), (None, other), (5, words(r, 60))]]
+    got = rows_of(simhash.simhash_groups(frame(spark, some)))
+    want = {f"{x:016x}": 5, f"{y:016x}": 5, f"{z:016x}": 5, f"{brute_fingerprint(other):016x}": None, f"{brute_fingerprint(some[5][1]):016x}": 5}
+    assert len(got) == 6 and all(g["component_id"] == want[g["fingerprint"]] for g in got)
+    kept = rows_of(simhash.keep_one(frame(spark, some)))
+    assert sorted((k["doc_id"] or 0, k["text"]) for k in kept) == sorted([(5, steps[0]), (0, other), (5, some[5][1])])
