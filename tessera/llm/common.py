@@ -4,7 +4,6 @@ import atexit
 import os
 import shutil
 import tempfile
-import uuid
 import zipfile
 
 import numpy as np
@@ -13,12 +12,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import save, scratch_root  # noqa: F401 (the operators import them from here)
+
 #: White space of the contracts, as a Java pattern.
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 U64 = np.uint64
 #: Arrow batches that go to Python hold at most so many rows and bytes, so a batch of long texts stays small.
-BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 
 def prepare(spark: SparkSession) -> None:
@@ -42,24 +43,6 @@ def prepare(spark: SparkSession) -> None:
     sc._tessera_shipped = True
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a temporary one only where that is unset (local runs)."""
-    sc = spark.sparkContext
-    if named := sc.getConf().get("spark.checkpoint.dir"):
-        return named
-    if (at := getattr(sc, "_tessera_scratch", None)) is None:
-        at = sc._tessera_scratch = tempfile.mkdtemp(prefix="tessera-scratch-")
-        atexit.register(shutil.rmtree, at, True)
-    return at
-
-
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: lineage is cut, and a lost executor loses nothing."""
-    path = f"{scratch_root(df.sparkSession)}/tessera-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

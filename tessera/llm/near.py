@@ -1,6 +1,10 @@
-"""Near-dedup by word shingles: every two texts whose sets of 5-word shingles have a Jaccard likeness of 0.8 or more are linked.
+"""Near-dedup: SimHash links, completed by word shingles.
 
-The search for candidates is a prefix filter, which loses no pair: with all shingles in one order, two such sets share one
+Texts are linked where their SimHash fingerprints are (`simhash.roots`, the Gray-order index, at its four bits). Four bits of
+64 reach nearly equal texts only, so links are completed: every two texts whose sets of 5-word shingles have a Jaccard
+likeness of 0.8 or more are linked as well, and only pairs that SimHash has not joined yet are looked at.
+
+The search for those candidates is a prefix filter, which loses no pair: with all shingles in one order, two such sets share one
 among the first fifth of each. The order goes by a sketch of how often shingles occur, rare ones first, so that a common
 passage makes few candidates; any order would find the same links. Pairs are confirmed on the whole sets, in two rounds:
 first each text that shares a prefix shingle with the smallest node that has it, then the pairs of such texts that are still
@@ -13,6 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import simhash
 from .common import U64, among, bloom, drop_rows, one_of_each, prepare, save, span_hashes, text_mark
 from .components import components
 
@@ -53,20 +58,21 @@ def _flats(batch):
 
 
 def nodes_and_sketch(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """id, row, mark, node for each row of docs (texts of the same words are one node), and the sketch of all shingles."""
+    """id, row, mark, node, fp for each row of docs (texts of the same words are one node), and the sketch of all shingles."""
 
     def run(batches):
         counts = np.zeros(1 << CELLS, np.int64)
         for b in batches:
-            nodes = []
+            nodes, fps = [], []
             for flat in _flats(b):
                 nodes.append(node_of(flat))
+                fps.append(simhash.fingerprint(flat))
                 np.add.at(counts, (shingles(flat) >> U64(64 - CELLS)).astype(np.int64), 1)
             none = pa.nulls(len(nodes), pa.int32()), pa.nulls(len(nodes), pa.binary())
-            yield pa.RecordBatch.from_arrays([b["id"], b["row"], b["mark"], pa.array(nodes, pa.int64()), *none], names=["id", "row", "mark", "node", "slice", "body"])
+            yield pa.RecordBatch.from_arrays([b["id"], b["row"], b["mark"], pa.array(nodes, pa.int64()), pa.array(np.array(fps, U64).view(np.int64)), *none], names=["id", "row", "mark", "node", "fp", "slice", "body"])
         counts = np.minimum(counts, 65535).astype("<u2").reshape(-1, SLICE)
         for k in np.flatnonzero(counts.any(axis=1)).tolist():
-            yield pa.RecordBatch.from_pydict({"id": pa.nulls(1, pa.int64()), "row": pa.nulls(1, pa.int64()), "mark": pa.nulls(1, pa.string()), "node": pa.nulls(1, pa.int64()), "slice": pa.array([k], pa.int32()), "body": pa.array([counts[k].tobytes()], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"id": pa.nulls(1, pa.int64()), "row": pa.nulls(1, pa.int64()), "mark": pa.nulls(1, pa.string()), "node": pa.nulls(1, pa.int64()), "fp": pa.nulls(1, pa.int64()), "slice": pa.array([k], pa.int32()), "body": pa.array([counts[k].tobytes()], pa.binary())})
 
     def merge(t: pa.Table) -> pa.Table:
         total = np.zeros(SLICE, np.int64)
@@ -75,11 +81,11 @@ def nodes_and_sketch(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         return pa.table({"slice": t["slice"][:1], "body": pa.array([np.minimum(total, (1 << 32) - 1).astype("<u4").tobytes()], pa.binary())})
 
     source = docs.select(F.col("doc_id").cast("long").alias("id"), F.monotonically_increasing_id().alias("row"), text_mark(F.col("text")).alias("mark"), "text")
-    made = save(source.mapInArrow(run, "id long, row long, mark string, node long, slice int, body binary"), "nodes")
+    made = save(source.mapInArrow(run, "id long, row long, mark string, node long, fp long, slice int, body binary"), "nodes")
     sketch = np.zeros(1 << CELLS, np.uint32)
     for r in made.where("slice is not null").select("slice", "body").groupBy("slice").applyInArrow(merge, "slice int, body binary").collect():
         sketch[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = np.frombuffer(r["body"], "<u4")
-    return made.where("node is not null").select("id", "row", "mark", "node"), sketch
+    return made.where("node is not null").select("id", "row", "mark", "node", "fp"), sketch
 
 
 def prefixes(docs: DataFrame, shared, known=None) -> DataFrame:
@@ -136,8 +142,17 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return save(pairs.join(one, "u").join(other, "v").select("u", "v", "a", "b").mapInArrow(test, "u long, v long"), "links")
 
 
-def near_roots(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """node, root for each node that isn't the smallest of its component."""
+def simhash_links(rows: DataFrame) -> DataFrame:
+    """Links u, v of each node with the smallest one of its SimHash component."""
+    nodes = save(rows.select("node", "fp").distinct(), "nodes")
+    roots = simhash.roots(nodes.select("fp").distinct()).select(F.col("node").alias("_f"), "root")
+    of = nodes.join(roots, F.col("fp") == F.col("_f"), "left").select("node", F.coalesce("root", "fp").alias("r"))
+    heads = of.groupBy("r").agg(F.min("node").alias("u"), F.max("node").alias("last")).where("u < last").select("r", "u")
+    return save(of.join(heads, "r").where("node > u").select("u", F.col("node").alias("v")), "links")
+
+
+def near_roots(docs: DataFrame, sketch: np.ndarray, known: DataFrame) -> DataFrame:
+    """node, root for each node that isn't the smallest of its component. known: links u, v that hold already."""
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast(sketch)
     heads = save(prefixes(docs, shared).select("h", "node").groupBy("h").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last").select("h", "head"), "heads")
@@ -145,8 +160,12 @@ def near_roots(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
     own = members.where("node = head").select("h", F.col("size").alias("size1"), F.col("left").alias("left1"))
     fits = alike(F.least("left", "left1"), F.col("size"), F.col("size1"))
     star = save(members.where("node > head").join(own, "h").where(fits).select(F.col("head").alias("u"), F.col("node").alias("v")).distinct(), "star")
-    links = confirmed(docs, star)
-    roots = components(links)
+    joined = components(known).select(F.col("node").alias("n"), F.col("root").alias("r"))
+    for end in ("u", "v"):  # pairs that SimHash has joined need no confirmation
+        star = star.join(joined.withColumnsRenamed({"n": end, "r": f"r{end}"}), end, "left").withColumn(f"r{end}", F.coalesce(f"r{end}", end))
+    star = save(star, "rooted")
+    links = confirmed(docs, star.where("ru <> rv").select("u", "v")).unionByName(known)
+    star, roots = star.select("u", "v"), components(links)
 
     named = save(members.select("h", "node", "size", "left").join(roots.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select("h", "node", "size", "left", F.coalesce("root", "node").alias("root")), "named")
     mixed = named.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("h")
@@ -162,10 +181,11 @@ def near_roots(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs with one row of each component of near copies: that of the smallest doc_id, or of any id before a null one.
 
-    A null text counts as an empty one; texts of no words are alike. Of rows that share id and text one stays. Sets and
-    texts of the same words are told by 64-bit hashes. No rows give no rows."""
+    A null text counts as an empty one; texts of no words are alike. Texts are read whole, whatever their length. Of rows that
+    share id and text one stays; rows that share an id only are judged each by its text. Sets and texts of the same words are
+    told by 64-bit hashes. Other columns, whatever their names, come along. No rows give no rows."""
     prepare(docs.sparkSession)
     rows, sketch = nodes_and_sketch(docs)
-    roots = near_roots(docs, sketch)
+    roots = near_roots(docs, sketch, simhash_links(rows))
     rows = save(rows.join(roots.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select("id", "row", "mark", F.coalesce("root", "node").alias("root")), "rows")
     return drop_rows(docs, one_of_each(rows, "root"), text_mark(F.col("text")))

@@ -1,26 +1,36 @@
 """SimHash near-dedup by a Gray-order hierarchical index.
 
-Distinct fingerprints are sorted by Gray rank and cut into blocks. In a block, groups of FAN ** k neighbours form the nodes
-of level k; a node keeps the bits that all its fingerprints share (a mask and a pattern). Two nodes whose shared patterns
-differ in more bits than allowed can hold no link, so the pair is pruned with all below it; the differences grow from level
-to level, as masks do. Blocks are compared in pairs that survive the same test, each pair a task's work of bounded size.
-A task returns a spanning forest of the links that it finds (never all pairs of a group), and alternating star rounds join
-the forests to components.
+Distinct fingerprints are sorted by Gray rank, several times. The 64 bits are cut into groups, more than the bits that may
+differ; each order leads with other groups, so that two fingerprints to be linked agree on the leading bits of one order at
+least. Those that share the leading bits of an order are an upper node of the index, and only they are compared: the work
+grows with the size of upper nodes, not with pairs of all blocks. Below, groups of FAN ** k neighbours form the nodes of
+level k; a node keeps the bits that all its fingerprints share (a mask and a pattern). Two nodes whose shared patterns differ
+in more bits than allowed can hold no link, so the pair is pruned with all below it; the differences grow from level to
+level, as masks do. A pair of nodes whose fingerprints are all in one component already is pruned too, so that a large group
+of near copies costs little more than its size.
+
+An upper node that crosses the border of two tasks, or fills several, goes on as blocks that are compared in pairs, each pair
+a task's work of bounded size. Tasks return spanning forests of the links that they find (never all pairs of a group), and
+alternating star rounds join the forests to components.
 """
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, drop_rows, one_of_each, per_partition, prepare, save, text_mark
+from .common import U64, per_partition, prepare, save
 from .components import components
 
 WORDS, BITS, FAN = 4, 4, 8
-#: Fingerprints of a block: a 128th of all, between these bounds.
-LEAST_BLOCK, MOST_BLOCK = 16384, 1 << 22
-_CHUNK = 1 << 19
+#: Fingerprints of a block, and rows of an order that a task sorts.
+BLOCK, TASK_ROWS = 1 << 16, 1 << 20
+#: Upper nodes hold some so many fingerprints; with more fingerprints in all, more bits lead.
+NODE = 1 << 12
+_CHUNK = 1 << 17
 
 
 def fingerprint(text: bytes, words: int = WORDS) -> int:
@@ -41,23 +51,46 @@ def fingerprint(text: bytes, words: int = WORDS) -> int:
     return int(np.packbits(2 * total > len(ends), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int, mark) -> DataFrame:
-    """doc_id, row, mark, fp (the 64 bits as a long)."""
+def fingerprints(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, fp (the 64 bits as a long)."""
 
     def run(batches):
         for b in batches:
-            got = np.array([fingerprint(t or b"", words) for t in b["text"].cast(pa.binary()).to_pylist()], U64)
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["row"], b["mark"], pa.array(got.view(np.int64))], names=["doc_id", "row", "mark", "fp"])
+            got = np.array([fingerprint(t.as_py() or b"", words) for t in b["text"].cast(pa.binary())], U64)
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(got.view(np.int64))], names=["doc_id", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), mark.alias("mark"), "text")
-    return rows.mapInArrow(run, "doc_id long, row long, mark string, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
-def gray_rank(fp):
-    """The place of a code in the reflected Gray sequence: a prefix xor over its bits."""
+def gray_rank(codes: np.ndarray) -> np.ndarray:
+    """The place of each code in the reflected Gray sequence: a prefix xor over its bits."""
     for k in (1, 2, 4, 8, 16, 32):
-        fp = fp.bitwiseXOR(F.shiftrightunsigned(fp, k))
-    return fp
+        codes = codes ^ (codes >> U64(k))
+    return codes
+
+
+def orders(n: int, bits: int) -> list[tuple[list[tuple[int, int]], int]]:
+    """For each order the groups of bits (shift, width), the leading ones first, and the mask of the leading ones.
+
+    Codes that differ in `bits` bits agree on all but `bits` groups: with g groups those that agree are among the choices of
+    g - bits. More groups make more orders and longer leading parts; n codes get as few as keep upper nodes near NODE."""
+    for groups in range(bits + 1, 65):
+        ends = [64 * k // groups for k in range(groups + 1)]
+        every = [(s, e - s) for s, e in zip(ends, ends[1:], strict=False)]
+        if n >> sum(w for _, w in every[: groups - bits]) <= NODE or groups >= bits + 3:
+            break
+    out = []
+    for lead in itertools.combinations(every, groups - bits):
+        out.append(([*lead, *(x for x in every if x not in lead)], sum(((1 << w) - 1) << s for s, w in lead)))
+    return out
+
+
+def in_order(codes: np.ndarray, groups: list[tuple[int, int]]) -> np.ndarray:
+    """The codes with their groups of bits rearranged, the first one leading."""
+    out = np.zeros(len(codes), U64)
+    for s, w in groups:
+        out = (out << U64(w)) | ((codes >> U64(s)) & U64((1 << w) - 1))
+    return out
 
 
 def levels(codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -71,28 +104,62 @@ def levels(codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def links(a: list, b: list, same: bool, bits: int):
-    """Pairs of leaf positions of two indexes at bits or fewer differences, in chunks; same: only i < j of one index."""
+def labels(up: np.ndarray, depth: int) -> list[np.ndarray]:
+    """For the nodes of each level the component that all their leaves are in, or -1."""
+    low = high = up
+    out = [up]
+    for _ in range(depth - 1):
+        at = np.arange(0, len(low), FAN)
+        low, high = np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)
+        out.append(np.where(low == high, low, -1))
+    return out
+
+
+def forest_of(first: np.ndarray, second: np.ndarray | None, lead: int, bits: int) -> np.ndarray:
+    """A spanning forest (rows of two codes) of the links between two sorted arrays of codes, or within the first alone.
+
+    Only codes that agree on the bits of lead are linked. One chunk of node pairs is followed down at a time."""
+    same, lead = second is None, U64(lead)
+    a = levels(first)
+    b = a if same else levels(second)
+    codes, shift = (first, 0) if same else (np.concatenate([first, second]), len(first))
+    forest, found = Forest(len(codes)), []
+    known = [labels(forest.up[: len(first)], len(a)), labels(forest.up[shift:], len(b))]
+
+    def apart(k, i, j):
+        x, y = known[0][min(k, len(a) - 1)][i], known[1][min(k, len(b) - 1)][j]
+        return (x != y) | (x < 0)
+
+    def surviving(k, i, j):
+        (pa_, ma), (pb, mb) = a[min(k, len(a) - 1)], b[min(k, len(b) - 1)]
+        fit = (i < len(pa_)) & (j < len(pb))
+        if same:
+            fit &= i < j if k == 0 else i <= j
+        i, j = i[fit], j[fit]
+        differ = (pa_[i] ^ pb[j]) & ma[i] & mb[j]
+        near = (np.bitwise_count(differ) <= bits) & (differ & lead == U64(0)) & apart(k, i, j)
+        return i[near], j[near]
+
     top = max(len(a), len(b)) - 1
-    stack = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    step = _CHUNK // (FAN * FAN)
+    stack = [(top, *surviving(top, np.zeros(1, np.int64), np.zeros(1, np.int64)))]
     while stack:
         k, i, j = stack.pop()
-        pa_, ma = a[min(k, len(a) - 1)]
-        pb, mb = b[min(k, len(b) - 1)]
-        near = np.bitwise_count((pa_[i] ^ pb[j]) & ma[i] & mb[j]) <= bits
-        if same:
-            near &= i < j if k == 0 else i <= j
-        i, j = i[near], j[near]
         if k == 0:
-            yield i, j
+            if new := forest.add(i, j + shift):
+                found += new
+                forest.flatten()
+                known = [labels(forest.up[: len(first)], len(a)), labels(forest.up[shift:], len(b))]
             continue
-        step = max(1, _CHUNK // (FAN * FAN))
-        for s in range(0, len(i), step):
-            x, y = i[s : s + step], j[s : s + step]
-            below = [(x[:, None] * FAN + np.arange(FAN)) if k < len(a) else x[:, None], (y[:, None] * FAN + np.arange(FAN)) if k < len(b) else y[:, None]]
-            x, y = np.repeat(below[0], below[1].shape[1], axis=1).ravel(), np.tile(below[1], (1, below[0].shape[1])).ravel()
-            fit = (x < len(a[min(k - 1, len(a) - 1)][0])) & (y < len(b[min(k - 1, len(b) - 1)][0]))
-            stack.append((k - 1, x[fit], y[fit]))
+        if len(i) > step:
+            stack.append((k, i[step:], j[step:]))
+            i, j = i[:step], j[:step]
+        keep = apart(k, i, j)
+        i, j = i[keep], j[keep]
+        x = (i[:, None] * FAN + np.arange(FAN)) if k < len(a) else i[:, None]
+        y = (j[:, None] * FAN + np.arange(FAN)) if k < len(b) else j[:, None]
+        stack.append((k - 1, *surviving(k - 1, np.repeat(x, y.shape[1], axis=1).ravel(), np.tile(y, (1, x.shape[1])).ravel())))
+    return codes[np.array(found, np.int64).reshape(-1, 2)]
 
 
 class Forest:
@@ -119,90 +186,81 @@ class Forest:
             self.up = self.up[self.up]
 
 
-def near_pairs(codes: DataFrame, bits: int = BITS, least_block: int = LEAST_BLOCK) -> DataFrame:
-    """codes: fp, rep (distinct fp). Edges u, v between reps: a spanning forest for each pair of blocks."""
-    spark = codes.sparkSession
-    block = min(MOST_BLOCK, max(least_block, -(-codes.count() // 128)))
-    rank = gray_rank(F.col("fp")).bitwiseXOR(F.lit(-(1 << 63)))  # the sign bit turned, so that signed order is unsigned order
-
-    def cut(batches):
-        held: list[np.ndarray] = []
-
-        def out(rows):
-            c = rows[0].view(U64)
-            return pa.RecordBatch.from_arrays([pa.array([int(np.bitwise_and.reduce(c).view(np.int64))]), pa.array([int(np.bitwise_and.reduce(~c).view(np.int64))]), pa.array([rows.tobytes()], pa.binary())], names=["ones", "zeros", "body"])
+def near_pairs(codes: DataFrame, bits: int = BITS, block: int = BLOCK, task_rows: int = TASK_ROWS) -> DataFrame:
+    """codes: fp (distinct). Edges u, v between them whose components are those of all pairs at `bits` or fewer differences."""
+    n = codes.count()
+    every = orders(n, bits)
+    sign = U64(1 << 63)  # turned, so that signed order is unsigned order
 
+    def ranks(batches):
         for b in batches:
-            held.append(np.stack([b["fp"].to_numpy(), b["rep"].to_numpy()]))
-            while sum(x.shape[1] for x in held) >= block:
-                x = np.concatenate(held, axis=1)
-                yield out(np.ascontiguousarray(x[:, :block]))
-                held = [x[:, block:]]
-        if held and (x := np.concatenate(held, axis=1)).shape[1]:
-            yield out(x)
-
-    parts = min(per_partition(codes), max(1, codes.count() // block + 1))
-    blocks = codes.withColumn("rank", rank).repartitionByRange(parts, "rank").sortWithinPartitions("rank").select("fp", "rep").mapInArrow(cut, "ones long, zeros long, body binary")
-    blocks = save(save(blocks, "cut").withColumn("block", F.monotonically_increasing_id()), "blocks")
-    # One short row for each block, of which there are N / block: the upper level of the index, held by the driver.
-    top = blocks.select("block", "ones", "zeros").orderBy("block").toArrow()
-    ids, ones, zeros = top["block"].to_numpy(), top["ones"].to_numpy().view(U64), top["zeros"].to_numpy().view(U64)
-    pairs = []
-    for k in range(len(ids)):
-        near = np.flatnonzero(np.bitwise_count((ones[k] ^ ones[k:]) & (ones[k] | zeros[k]) & (ones[k:] | zeros[k:])) <= bits) + k
-        pairs.append(np.stack([np.full(len(near), ids[k]), ids[near]]))
-    pairs = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
-    number = pa.array(np.arange(pairs.shape[1]))
-    sides = [pa.table({"pair": number, "side": pa.array(np.full(pairs.shape[1], s, np.int32)), "b": pa.array(pairs[s])}) for s in (0, 1)]
-    sides = pa.concat_tables([sides[0], sides[1].filter(pa.array(pairs[0] != pairs[1]))])
-    wanted = spark.createDataFrame(sides) if sides.num_rows else spark.createDataFrame([], "pair long, side int, b long")
+            fp = b["fp"].to_numpy().view(U64)
+            for k, (groups, _) in enumerate(every):
+                rank = (gray_rank(in_order(fp, groups)) ^ sign).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fp), k, np.int32)), pa.array(rank), b["fp"]], names=["order", "rank", "fp"])
+
+    def within(batches):
+        """Links within the upper nodes that end in this task, and blocks of its first and last upper node."""
+        held = [(b["order"].to_numpy(), b["fp"].to_numpy().view(U64)) for b in batches if b.num_rows]
+        if not held:
+            return
+        order, fp = (np.concatenate(x) for x in zip(*held, strict=True))
+        del held
+        cut = [*np.flatnonzero(np.concatenate(([True], order[1:] != order[:-1]))).tolist(), len(order)]
+        for s, e in zip(cut, cut[1:], strict=False):
+            k, some = int(order[s]), fp[s:e]
+            lead = some & U64(every[k][1])
+            at = [*np.flatnonzero(np.concatenate(([True], lead[1:] != lead[:-1]))).tolist(), len(lead)]
+            low, high = at[1] if s == 0 else 0, at[-2] if e == len(order) else len(some)
+            open_ = [(0, low)] * (s == 0) + [(high, len(some))] * (e == len(order) and high >= low)
+            for x, y in open_:
+                for z in range(x, y, block):
+                    part = some[z : min(y, z + block)]
+                    ones, zeros = (int(np.bitwise_and.reduce(p).view(np.int64)) for p in (part, ~part))
+                    yield pa.RecordBatch.from_pydict({"order": pa.array([k], pa.int32()), "lead": pa.array(lead[x : x + 1].view(np.int64)), "ones": [ones], "zeros": [zeros], "body": pa.array([part.tobytes()], pa.binary()), "u": pa.nulls(1, pa.int64()), "v": pa.nulls(1, pa.int64())})
+            if low < high:
+                got = forest_of(some[low:high], None, every[k][1], bits).view(np.int64)
+                none = pa.nulls(len(got), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(got), pa.int32()), none, none, none, pa.nulls(len(got), pa.binary()), pa.array(np.ascontiguousarray(got[:, 0])), pa.array(np.ascontiguousarray(got[:, 1]))], names=["order", "lead", "ones", "zeros", "body", "u", "v"])
 
     def compare(t: pa.Table) -> pa.Table:
-        both = [np.frombuffer(x, np.int64).reshape(2, -1) for _, x in sorted(zip(t["side"].to_pylist(), t["body"].to_pylist(), strict=True))]
-        same = len(both) == 1
-        index = [levels(x[0].view(U64)) for x in both]
-        reps = np.concatenate([x[1] for x in both])
-        forest, found = Forest(len(reps)), []
-        shift = 0 if same else both[0].shape[1]
-        for i, j in links(index[0], index[-1], same, bits):
-            found += forest.add(i, j + shift)
-            forest.flatten()
-        found = np.array(found, np.int64).reshape(-1, 2)
-        return pa.table({"u": reps[found[:, 0]], "v": reps[found[:, 1]]})
-
+        both = [np.frombuffer(x, U64) for _, x in sorted(zip(t["side"].to_pylist(), t["body"].to_pylist(), strict=True))]
+        got = forest_of(both[0], both[1] if len(both) > 1 else None, every[t["order"][0].as_py()][1], bits).view(np.int64)
+        return pa.table({"u": np.ascontiguousarray(got[:, 0]), "v": np.ascontiguousarray(got[:, 1])})
+
+    parts = max(per_partition(codes), -(-n * len(every) // task_rows))
+    dealt = codes.select("fp").mapInArrow(ranks, "order int, rank long, fp long").repartitionByRange(parts, "order", "rank").sortWithinPartitions("order", "rank")
+    made = save(dealt.select("order", "fp").mapInArrow(within, "order int, lead long, ones long, zeros long, body binary, u long, v long"), "within")
+    blocks = save(made.where("body is not null").select(F.monotonically_increasing_id().alias("block"), "order", "lead", "ones", "zeros", "body"), "blocks")
+    one, other = (blocks.select("order", "lead", *[F.col(c).alias(f"{c}{x}") for c in ("block", "ones", "zeros")]) for x in "12")
+    differ = "bit_count((ones1 ^ ones2) & (ones1 | zeros1) & (ones2 | zeros2))"
+    pairs = save(one.join(other, ["order", "lead"]).where(f"block1 <= block2 and {differ} <= {bits}").select(F.monotonically_increasing_id().alias("pair"), "order", "block1", "block2"), "pairs")
+    pairs = pairs.select("pair", "order", F.posexplode(F.expr("if(block1 = block2, array(block1), array(block1, block2))")).alias("side", "b"))
+    rows = pairs.join(blocks.select("block", "body"), F.col("b") == F.col("block")).select("pair", "order", "side", "body")
     # A pair is work, however few its bytes: pairs are dealt to many tasks, which adaptive planning would join again.
-    spread = max(1, min(pairs.shape[1], 8 * per_partition(codes)))
-    rows = wanted.join(blocks.select("block", "body"), F.col("b") == F.col("block")).select("pair", "side", "body").repartition(spread, "pair")
-    return rows.groupBy("pair").applyInArrow(compare, "u long, v long")
+    rows = rows.repartition(2 * per_partition(codes), "pair")
+    return made.where("u is not null").select("u", "v").unionByName(rows.groupBy("pair").applyInArrow(compare, "u long, v long"))
 
 
-def _groups(docs: DataFrame, words: int, bits: int, least_block: int, mark) -> DataFrame:
-    """doc_id, row, mark, fp, root (the smallest fingerprint of the component), component_id, n (rows of that fingerprint) for each row.
+def roots(fps: DataFrame, bits: int = BITS) -> DataFrame:
+    """fps: fp (distinct). node, root for each fingerprint that isn't the smallest (as a long) of its component."""
+    return components(near_pairs(fps, bits))
+
+
+def simhash_groups(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
+    """A row for each row of docs: doc_id, fingerprint (16 hex digits), component_id, group_links (equal fingerprints besides).
 
-    Fingerprints, which are never null, are the nodes; a component's smallest doc_id names it afterwards."""
+    Fingerprints, which are never null, are the nodes; a component's smallest doc_id names it afterwards. A null or empty text
+    has fingerprint zero and links as any other; fewer than `words` words make one shingle. Rows without an id link as others
+    do, but never name a component (component_id is null where no row of it has an id). Rows of one id may be in several
+    components, each named on its own. Texts are read whole, whatever their length. Repeated rows have a row each. No rows give
+    no rows."""
     prepare(docs.sparkSession)
-    fps = save(fingerprints(docs, words, mark), "fps")
+    fps = save(fingerprints(docs, words), "fps")
     classes = save(fps.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "classes")
-    roots = components(near_pairs(classes.select("fp", F.col("fp").alias("rep")), bits, least_block))
-    linked = classes.join(roots, F.col("fp") == F.col("node"), "left").select(F.col("fp").alias("f"), F.coalesce("root", "fp").alias("root"), "rep", "n")
+    linked = classes.join(roots(classes.select("fp"), bits), F.col("fp") == F.col("node"), "left").select(F.col("fp").alias("f"), F.coalesce("root", "fp").alias("root"), "rep", "n")
     names = linked.groupBy(F.col("root").alias("r")).agg(F.min("rep").alias("name"), F.count(F.lit(1)).alias("fps"))
-    named = linked.join(names, F.col("root") == F.col("r")).where("n > 1 or fps > 1").select("f", "root", "name", "n")
+    named = linked.join(names, F.col("root") == F.col("r")).where("n > 1 or fps > 1").select("f", "name", "n")
     out = fps.join(save(named, "named"), F.col("fp") == F.col("f"), "left")
-    return out.select("doc_id", "row", "mark", "fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("f").isNull(), F.col("doc_id")).otherwise(F.col("name")).alias("component_id"), F.coalesce("n", F.lit(1)).alias("n"))
-
-
-def simhash_groups(docs: DataFrame, words: int = WORDS, bits: int = BITS, least_block: int = LEAST_BLOCK) -> DataFrame:
-    """A row for each row of docs: doc_id, fingerprint (16 hex digits), component_id, group_links (equal fingerprints besides).
-
-    A null or empty text has fingerprint zero and links as any other; fewer than `words` words make one shingle. Rows without
-    an id link as others do, but never name a component (component_id is null where no row of it has an id). No rows give no
-    rows."""
-    found = _groups(docs, words, bits, least_block, F.lit(""))
-    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", (F.col("n") - 1).cast("long").alias("group_links"))
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """docs with one row of each component: that of the smallest doc_id, or of any id before a null one."""
-    mark = text_mark(F.col("text"))
-    rows = save(_groups(docs, WORDS, BITS, LEAST_BLOCK, mark).select(F.col("doc_id").alias("id"), "row", "mark", "root"), "rows")
-    return drop_rows(docs, one_of_each(rows, "root"), mark)
+    component = F.when(F.col("f").isNull(), F.col("doc_id")).otherwise(F.col("name")).alias("component_id")
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), component, (F.coalesce("n", F.lit(1)) - 1).cast("long").alias("group_links"))
