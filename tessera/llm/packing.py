@@ -2,9 +2,12 @@
 
 Documents become pieces of at most `capacity` tokens (only longer ones are cut; the odd piece comes first). Full pieces are
 sequences. The others are dealt to nodes by hash, each of about NODE items, so that all nodes see the same mix of lengths.
-A node packs its items best-fit, the longest first, and emits bins that are full or can't take the shortest item of all;
-bins with room go up as items, where the nodes of a tree (FAN children each) repeat the rounds, until one node is left.
-A node passes up at most UP bins, those with most room; it emits the rest as they are, which are sequences too.
+A node packs its items best-fit, the longest first, and emits its nearly full bins: those whose room takes at most a share
+SMALL of the items there are, by a histogram of all lengths. The underfull bins go up as items, where the nodes of a tree (FAN
+children each) repeat the rounds, until one node is left. Best-fit leaves few underfull bins of many items, so levels shrink;
+where they don't (items over half a sequence, which no other fits), as many nodes as their items need work at the next level,
+and the tree ends when a level packs nothing together, so no node ever holds more than about NODE items. No bin is cut short
+by a cap.
 """
 
 import numpy as np
@@ -17,7 +20,9 @@ from .common import per_partition, prepare, save
 from .tokens import crc32, encode_all
 
 CAPACITY, END = 2048, 0
-NODE, FAN, UP = 1 << 15, 8, 1 << 12
+NODE, FAN = 1 << 15, 8
+#: A bin is nearly full where at most this share of all items fits into its room.
+SMALL = 0.001
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -66,38 +71,53 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def node_round(level: int, last: bool, capacity: int, shortest: int, up: int):
-    """What a node does with its items. At the last level all bins are emitted."""
+def node_round(level: int, last: bool, capacity: int, room: int):
+    """What a node does with its items: bins with `room` or more go up. At the last level all bins are emitted."""
 
     def run(key, pdf):
         where, offset, fill = best_fit(pdf["length"].to_numpy(), capacity)
-        open_ = np.flatnonzero(fill + shortest <= capacity) if not last else np.zeros(0, np.int64)
-        going = np.zeros(len(fill), bool)
-        going[open_[np.argsort(fill[open_], kind="stable")[:up]]] = True
+        going = np.zeros(len(fill), bool) if last else fill + room <= capacity
         bins = (level << 56) + (int(key[0]) << 24) + np.arange(len(fill))
-        return pd.DataFrame({"item": pdf["item"].to_numpy(), "bin": bins[where], "offset": offset, "fill": fill[where], "going": going[where], "node": int(key[0]) // FAN})
+        return pd.DataFrame({"item": pdf["item"].to_numpy(), "bin": bins[where], "offset": offset, "fill": fill[where], "going": going[where]})
 
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END, node: int = NODE, up: int = UP) -> DataFrame:
+def least_room(lengths: DataFrame, small: float) -> tuple[int, int]:
+    """The number of items, and the length that more than a share `small` of them do not exceed."""
+    at = n = 0
+    counts = sorted(lengths.groupBy("length").count().collect())  # a row for each length, so fewer than the capacity
+    total = sum(c for _, c in counts)
+    for at, c in counts:
+        n += c
+        if n > small * total:
+            break
+    return total, at
+
+
+def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END, node: int = NODE, small: float = SMALL) -> DataFrame:
     """A row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    Null and empty texts are one token, the end. Equal rows are packed each on its own. No rows give no rows."""
+    Null and empty texts are one token, the end. Long texts are read whole and cut. Equal rows, and rows of one id, are packed
+    each on its own; ties go by the items' order in their node. Other columns of docs are ignored. No rows give no rows."""
     prepare(docs.sparkSession)
     cut = save(pieces(docs, tokenizer, capacity, end).withColumn("item", F.monotonically_increasing_id()), "pieces")
-    parts = cut.where(F.col("length") < capacity)
-    n, shortest = parts.agg(F.count(F.lit(1)), F.min("length")).first()
-    nodes = FAN ** max(0, int(np.ceil(np.log(max(1, n / node)) / np.log(FAN))))
-    level, items, rounds = 0, parts.select("item", "length", F.pmod(F.xxhash64("item"), F.lit(nodes)).alias("node")), []
-    while True:
-        fit = node_round(level, nodes == 1, capacity, shortest, up)
-        done = save(items.groupBy("node").applyInPandas(fit, "item long, bin long, offset long, fill long, going boolean, node long"), f"round{level}")
+    items, level, rounds = cut.where(F.col("length") < capacity).select("item", "length"), 0, []
+    n, room = least_room(items, small)
+    while n:
+        nodes = -(-n // node)
+        dealt = items.withColumn("node", F.pmod(F.xxhash64("item"), F.lit(nodes)))
+        fit = node_round(level, nodes == 1, capacity, room)
+        done = save(dealt.groupBy("node").applyInPandas(fit, "item long, bin long, offset long, fill long, going boolean"), f"round{level}")
         rounds.append(done)
         if nodes == 1:
             break
-        items = done.where("going").groupBy("bin").agg(F.first("fill").alias("length"), F.first("node").alias("node")).select(F.col("bin").alias("item"), "length", "node")
-        nodes, level = nodes // FAN, level + 1
+        items = save(done.where("going").groupBy(F.col("bin").alias("item")).agg(F.first("fill").alias("length")), f"items{level}")
+        before, (n, room), level = n, least_room(items, small), level + 1
+        if n > before * (FAN - 1) // FAN:  # hardly two of them fit together: what is left are sequences
+            break
+    if not rounds:
+        return cut.select("doc_id", "piece", "start", "length", "ids_crc32", (-1 - F.col("item")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     placed = rounds.pop().select("item", F.col("bin").alias("sequence_id"), "offset")
     while rounds:
         below = rounds.pop()
