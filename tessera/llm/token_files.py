@@ -1,9 +1,11 @@
 """Token-id files with a shared zstandard dictionary.
 
-A file is a Parquet table (so that Spark's committer writes it to any store, and a lost task leaves nothing), a row for each
-segment: ids of consecutive documents in ascending doc_id order, each document a zstandard frame of its own, and an index of
-(doc_id, place of its frame, tokens before it). `open_document` decompresses one frame. The dictionary is trained on a bounded
-sample of the serialised id arrays; each segment names it by its SHA-256, and readers check it.
+Under a path lie two Parquet tables (so that Spark's committer writes them to any store, and a lost task leaves nothing):
+`dictionary`, one row with the shared dictionary and its SHA-256, and `ids`, a row for each segment: ids of consecutive
+documents in ascending doc_id order, each document a zstandard frame of its own, and an index of (doc_id, place of its frame,
+tokens before it). Any session can read them by the path alone. `open_document` finds a document's segment by the range of its
+ids, which the scan's statistics prune, and decompresses one frame. The dictionary is trained on a bounded sample of the
+serialised id arrays; each segment names it by its SHA-256, and readers check it.
 """
 
 import hashlib
@@ -15,7 +17,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import prepare, scratch_root
@@ -27,6 +29,11 @@ END = 1
 DICTIONARY, SAMPLE_DOCS, SAMPLE_IDS, LEVEL = 65536, 2000, 4096, 3
 #: A segment is closed at so many bytes. A file gets about so many documents.
 SEGMENT, FILE_DOCS = 1 << 21, 8192
+#: Files, which are sorted ranges, at most: beyond that they get longer, not more, so that their bounds stay a small table.
+MOST_FILES = 1 << 16
+#: A row group of the files, which a writer holds in memory and a reader of one document reads.
+ROW_GROUP = 8 << 20
+_SCHEMA = "file int, first_doc long, last_doc long, before long, n long, body binary"
 _HEAD = struct.Struct("<8s32sII")  # magic, dictionary's SHA-256, documents, bytes of an id
 _INDEX = np.dtype([("doc_id", "<i8"), ("place", "<i8"), ("before", "<i8")])
 
@@ -83,20 +90,22 @@ class Segment:
         return self.ids(k)
 
 
-def write(docs: DataFrame, tokenizer: str, path: str, end: int = END) -> bytes:
-    """Writes docs (doc_id, text; null text: empty, null doc_id: before all others) under path; returns the dictionary.
+def write(docs: DataFrame, tokenizer: str, path: str, end: int = END) -> None:
+    """Writes docs (doc_id, text; null text: empty, null doc_id: before all others) under path.
 
-    Rows of one doc_id follow each other. No rows give a table without segments."""
+    Rows of one doc_id follow each other, in no set order. A text of any length is one frame. Other columns are ignored. No
+    rows give a table without segments, and a dictionary."""
     prepare(spark := docs.sparkSession)
     wide, least = width(tokenizer), -(1 << 63)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(least)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     n = rows.select("doc_id").count()
-    files = max(1, -(-n // FILE_DOCS))
+    files = max(1, min(MOST_FILES, -(-n // FILE_DOCS)))
     # The sample: the documents with the least hashes, at most SAMPLE_DOCS; of each the first SAMPLE_IDS ids.
     wanted = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) <= F.lit(min(1 << 20, (1 << 20) * SAMPLE_DOCS // max(1, n) + 1)))
     sample = [r.text for r in wanted.select(F.xxhash64("doc_id").alias("h"), F.substring("text", 1, SAMPLE_IDS * 4).alias("text")).orderBy("h", "text").limit(SAMPLE_DOCS).collect()]
     dictionary = train([serialised(x[: 4 * SAMPLE_IDS], wide) for x in encode_all(tokenizer, sample, end)])
     name = hashlib.sha256(dictionary).digest()
+    spark.createDataFrame([(name, dictionary)], "sha256 binary, body binary").coalesce(1).write.parquet(f"{path}/dictionary")
     shared = spark.sparkContext.broadcast(dictionary)
 
     def compress(batches):
@@ -125,7 +134,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, end: int = END) -> bytes:
         def out():
             body = segment(held, name, wide)
             tokens = sum(e[2] for e in held)
-            return tokens, pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([held[0][0]], pa.int64()), pa.array([before], pa.int64()), pa.array([tokens], pa.int64()), pa.array([body], pa.binary())], names=["file", "first_doc", "before", "n", "body"])
+            return tokens, pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), *(pa.array([x], pa.int64()) for x in (held[0][0], held[-1][0], before, tokens)), pa.array([body], pa.binary())], names=["file", "first_doc", "last_doc", "before", "n", "body"])
 
         for b in batches:
             for i, f, n, frame in zip(*(b[k].to_pylist() for k in ("doc_id", "file", "n", "frame")), strict=True):
@@ -140,16 +149,35 @@ def write(docs: DataFrame, tokenizer: str, path: str, end: int = END) -> bytes:
             yield out()[1]
 
     dealt = encoded.repartitionById(len(table) + 1, F.col("file")).sortWithinPartitions("file", "doc_id")
-    dealt.mapInArrow(gather, "file int, first_doc long, before long, n long, body binary").write.parquet(path)
-    return dictionary
+    dealt.mapInArrow(gather, _SCHEMA).write.option("parquet.block.size", ROW_GROUP).parquet(f"{path}/ids")
 
 
-def read(spark, path: str, dictionary: bytes) -> DataFrame:
-    """A row for each document of the files: doc_id, start (ids before it, over all files), n_tokens, ids_crc32."""
-    segments = spark.read.schema("file int, first_doc long, before long, n long, body binary").parquet(path)
+def dictionary_of(spark: SparkSession, path: str) -> bytes:
+    """The dictionary of the files under path; ValueError if it isn't what its SHA-256 says."""
+    row = spark.read.parquet(f"{path}/dictionary").first()
+    if hashlib.sha256(row.body).digest() != bytes(row.sha256):
+        raise ValueError(f"the dictionary under {path} is damaged")
+    return bytes(row.body)
+
+
+def open_document(spark: SparkSession, path: str, doc_id: int) -> np.ndarray:
+    """The ids of one document of the files under path (of rows with one doc_id, the first); KeyError if there is none.
+
+    Reads the segment whose range of ids holds it, and decompresses that document alone."""
+    held = spark.read.schema(_SCHEMA).parquet(f"{path}/ids").where((F.col("first_doc") <= doc_id) & (F.col("last_doc") >= doc_id))
+    if (row := held.orderBy("file", "before").select("body").first()) is None:
+        raise KeyError(doc_id)
+    return Segment(bytes(row.body), dictionary_of(spark, path)).open_document(doc_id)
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """A row for each document of the files: doc_id, start (ids before it, over all files), n_tokens, ids_crc32.
+
+    Documents of a null id have a null doc_id again. Files without segments give no rows."""
+    segments = spark.read.schema(_SCHEMA).parquet(f"{path}/ids")
     per_file = segments.groupBy("file").agg(F.sum("n").alias("n"))  # one short row for each file
     offsets = per_file.select(F.col("file").alias("f"), (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("offset"))
-    shared = spark.sparkContext.broadcast(dictionary)
+    shared = spark.sparkContext.broadcast(dictionary_of(spark, path))
 
     def decode(batches):
         for b in batches:
@@ -164,8 +192,7 @@ def read(spark, path: str, dictionary: bytes) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
-    """Writes docs to the shared folder and reads them back."""
+    """Writes docs to the shared folder and reads them back: the rows of `read`, cases as in `write`."""
     path = f"{scratch_root(docs.sparkSession)}/tessera-{uuid.uuid4().hex}/ids"
-    dictionary = write(docs, tokenizer, path, end)
-    return read(docs.sparkSession, path, dictionary)
-
+    write(docs, tokenizer, path, end)
+    return read(docs.sparkSession, path)

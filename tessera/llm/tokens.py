@@ -3,7 +3,8 @@
 Both vocabularies cut a text at single spaces before anything else can join its pieces, so a piece between spaces always has
 the same ids, and the library encodes each piece once per worker. Texts whose white space isn't that plain go to it whole.
 Both also cut between a letter and punctuation, so ASCII punctuation at a piece's end is encoded apart from its word, and a
-word of Latin letters is one unit of the library's BPE model, which takes it without the tokenizer's other steps.
+word of Latin letters is one unit of the library's BPE model, which takes it without the tokenizer's other steps. That holds
+for the two layouts of LAYOUTS, which are looked for in the tokenizer's file; texts go whole to a tokenizer of any other parts.
 """
 
 import json
@@ -17,13 +18,26 @@ import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: Pieces that a worker keeps (some 200 bytes each); a full cache is emptied.
-CACHE = 600_000
+CACHE = 200_000
 LONGEST_PIECE = 64
 _TAIL = ".,!?;:"
 #: White space but for blanks and line ends, two of these in a row, and the separator that pieces are cut with.
 _UNSAFE = ("\0", "  ", " \n", "\n ", "\n\n", *(chr(c) for c in range(0x110000) if chr(c).isspace() and chr(c) not in " \n"))
 _UNSAFE_ASCII = tuple(x for x in _UNSAFE if x.isascii())
 _made: dict[str, "Encoder"] = {}
+#: Normalizer, pre-tokenizer and model settings of the layouts that are known. Where white space is dropped it
+#: ends every word; else a space belongs to the word after it.
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+_WORDS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
+LAYOUTS = {
+    "drops": {
+        "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+        "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": _WORDS}, "behavior": "Removed", "invert": True}, _BYTES | {"use_regex": False}]},
+        "model": _MODEL | {"end_of_word_suffix": "</w>"},
+    },
+    "keeps": {"normalizer": None, "pre_tokenizer": _BYTES, "model": _MODEL | {"end_of_word_suffix": None}},
+}
 
 
 def byte_letters() -> dict[int, int]:
@@ -36,6 +50,13 @@ def byte_letters() -> dict[int, int]:
 _LETTERS = byte_letters()
 
 
+def layout(made: dict) -> str | None:
+    """The layout of a tokenizer's file: its parts are those of one in LAYOUTS, and it adds no tokens but special ones."""
+    parts = {k: made.get(k) for k in ("normalizer", "pre_tokenizer")} | {"model": {k: v for k, v in made["model"].items() if k not in ("vocab", "merges")}}
+    plain = made.get("truncation") is None and made.get("padding") is None and all(t["special"] for t in made.get("added_tokens") or ())
+    return next((name for name, want in LAYOUTS.items() if plain and parts == want), None)
+
+
 def latin(core: str) -> bool:
     """Whether a word, with or without the blank before it, has letters below U+0250 only."""
     letters = core[1:] if core[:1] == " " else core
@@ -53,11 +74,12 @@ class Encoder:
         self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
         self.cache: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as f:
-            made = json.load(f)
-        #: White space is dropped and ends every word, or a space belongs to the word after it.
-        self.drops = (made.get("normalizer") or {}).get("type") == "Sequence"
+            self.layout = layout(json.load(f))
+        self.drops = self.layout == "drops"
 
     def plain(self, text: str) -> bool:
+        if self.layout is None:
+            return False
         return self.drops or not any(x in text for x in (_UNSAFE_ASCII if text.isascii() else _UNSAFE))
 
     def pieces(self, texts: list[str]) -> pa.ListArray:
@@ -138,7 +160,7 @@ def encoder(path: str) -> Encoder:
     return _made[path]
 
 
-def encode_all(path: str, texts: list[str | None], end: int, most: int = 1 << 22):
+def encode_all(path: str, texts: list[str | None], end: int, most: int = 1 << 20):
     """Ids of each text with the id `end` after them, encoding about `most` characters at a time."""
     of, tail = encoder(path), array("I", [end]).tobytes()
     k = 0
