@@ -7,7 +7,6 @@ import tempfile
 import zipfile
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,13 +123,14 @@ def among(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def may_be_in(spark: SparkSession, words: np.ndarray):
-    """A function of a long column: whether its value may be in the filter; null is not."""
+    """A function of a long column: whether its value may be in the filter; null is not.
+
+    Not for rows that go to Python anyway: each Python step of a task takes a worker of its own, and so its memory."""
     shared = spark.sparkContext.broadcast(words)
 
-    @F.pandas_udf("boolean")
-    def test(keys):
-        known = keys.notna().to_numpy()
-        return pd.Series(known & among(shared.value, keys.fillna(0).to_numpy().astype(np.int64)))
+    @F.arrow_udf("boolean")
+    def test(keys: pa.Array) -> pa.Array:
+        return pa.array(keys.is_valid().to_numpy(zero_copy_only=False) & among(shared.value, keys.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)))
 
     return test
 

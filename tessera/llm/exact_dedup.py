@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOOM_BITS, SPACES, bloom, drop_rows, may_be_in, per_partition, prepare, save
+from .common import BLOOM_BITS, SPACES, among, bloom, drop_rows, per_partition, prepare, save
 
 #: Entries of a bucket, and bytes of texts that a task holds before it sends what it has merged.
 BUCKET_CAPACITY, HELD = 8192, 8 << 20
@@ -134,8 +134,8 @@ def add(index: DataFrame | None, rows: DataFrame, capacity: int, bits: int, name
     return save(build(new if index is None else new.unionByName(entries_of(index)), capacity, bits), name)
 
 
-def merge_copies(batches):
-    """A task's texts with a row for each text that it holds at a time: key, text, rows."""
+def merge_copies(batches, words: np.ndarray):
+    """A task's texts whose key may be in a filter, with a row for each text that it holds at a time: key, text, rows."""
     held: dict[tuple[int, str], int] = {}
     size = 0
 
@@ -143,6 +143,7 @@ def merge_copies(batches):
         return pa.RecordBatch.from_arrays([pa.array([k for k, _ in held], pa.int64()), pa.array([t for _, t in held], pa.string()), pa.array(held.values(), pa.int64())], names=["key", "text", "n"])
 
     for b in batches:
+        b = b.filter(pa.array(among(words, b["key"].to_numpy())))
         for x in zip(b["key"].to_pylist(), b["text"].to_pylist(), strict=True):
             if x not in held:
                 size += len(x[1])
@@ -201,8 +202,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # Keys with several rows, and the entries of these keys: those that stand for one row chain with the others.
     several = save(entries_of(index, 2).select(F.col("key").alias("k")).distinct(), "several")
-    test = may_be_in(docs.sparkSession, bloom(several, "k", bloom_bits))
-    texts = source.select(F.xxhash64("text").alias("key"), "text").where(test("key")).mapInArrow(merge_copies, "key long, text string, n long")
+    words = docs.sparkSession.sparkContext.broadcast(bloom(several, "k", bloom_bits))
+    texts = source.select(F.xxhash64("text").alias("key"), "text").mapInArrow(lambda batches: merge_copies(batches, words.value), "key long, text string, n long")
     texts = texts.join(several, F.col("key") == F.col("k")).select("key", F.lit(None).cast("binary").alias("sha"), F.lit(None).cast("long").alias("id"), "n", "text")
     own = entries_of(index).join(several, F.col("key") == F.col("k")).select("key", "sha", "id", "n", F.lit(None).cast("string").alias("text"))
     owned = own.unionByName(texts).withColumn("owner", owner_of(F.col("key"), bits)).repartitionById(1 << bits, F.col("owner")).sortWithinPartitions("owner", "key", F.col("text").isNotNull())

@@ -7,7 +7,7 @@ that depends on its length, is rejected, as is one without letters.
 """
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -147,10 +147,11 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     A null text and one without letters are `und`, score 0, rejected; so is every text if nothing was learned."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, lang_score double, lang_rejected boolean")
-    def run(texts):
-        out = [shared.value.predict(texts.iloc[k : k + 256].tolist()) for k in range(0, len(texts), 256)]
-        return pd.DataFrame({"lang_pred": [x for o in out for x in o[0]], "lang_score": np.concatenate([o[1] for o in out] or [np.zeros(0)]), "lang_rejected": np.concatenate([o[2] for o in out] or [np.zeros(0, bool)])})
+    @F.arrow_udf("lang_pred string, lang_score double, lang_rejected boolean")
+    def run(texts: pa.Array) -> pa.Array:
+        out = [shared.value.predict(texts.slice(k, 256).to_pylist()) for k in range(0, len(texts), 256)]
+        parts = [x for o in out for x in o[0]], np.concatenate([o[1] for o in out] or [np.zeros(0)]), np.concatenate([o[2] for o in out] or [np.zeros(0, bool)])
+        return pa.StructArray.from_arrays([pa.array(x, k) for x, k in zip(parts, (pa.string(), pa.float64(), pa.bool_()), strict=True)], names=["lang_pred", "lang_score", "lang_rejected"])
 
     return docs.withColumn("_lang", run(F.col(text_col))).select(*docs.columns, "_lang.lang_pred", "_lang.lang_score", "_lang.lang_rejected")
 

@@ -11,7 +11,6 @@ by a cap.
 """
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -74,11 +73,11 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
 def node_round(level: int, last: bool, capacity: int, room: int):
     """What a node does with its items: bins with `room` or more go up. At the last level all bins are emitted."""
 
-    def run(key, pdf):
-        where, offset, fill = best_fit(pdf["length"].to_numpy(), capacity)
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        where, offset, fill = best_fit(t["length"].to_numpy(), capacity)
         going = np.zeros(len(fill), bool) if last else fill + room <= capacity
-        bins = (level << 56) + (int(key[0]) << 24) + np.arange(len(fill))
-        return pd.DataFrame({"item": pdf["item"].to_numpy(), "bin": bins[where], "offset": offset, "fill": fill[where], "going": going[where]})
+        bins = (level << 56) + (key[0].as_py() << 24) + np.arange(len(fill))
+        return pa.table({"item": t["item"], "bin": bins[where], "offset": offset, "fill": fill[where], "going": going[where]})
 
     return run
 
@@ -108,7 +107,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = E
         nodes = -(-n // node)
         dealt = items.withColumn("node", F.pmod(F.xxhash64("item"), F.lit(nodes)))
         fit = node_round(level, nodes == 1, capacity, room)
-        done = save(dealt.groupBy("node").applyInPandas(fit, "item long, bin long, offset long, fill long, going boolean"), f"round{level}")
+        done = save(dealt.groupBy("node").applyInArrow(fit, "item long, bin long, offset long, fill long, going boolean"), f"round{level}")
         rounds.append(done)
         if nodes == 1:
             break

@@ -14,7 +14,6 @@ import uuid
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -115,17 +114,13 @@ def write(docs: DataFrame, tokenizer: str, path: str, end: int = END) -> None:
             for ids in encode_all(tokenizer, b["text"].to_pylist(), end):
                 frames.append(of.compress(serialised(ids, wide)))
                 sizes.append(len(ids) // 4)
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["file"], pa.array(sizes, pa.int64()), pa.array(frames, pa.binary())], names=["doc_id", "file", "n", "frame"])
+            file = pa.array(np.searchsorted(table, b["doc_id"].to_numpy()).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([b["doc_id"], file, pa.array(sizes, pa.int64()), pa.array(frames, pa.binary())], names=["doc_id", "file", "n", "frame"])
 
     # Files are ranges of doc_id. Their bounds come from the ids alone, so that texts are not encoded twice.
     bounds = rows.agg(F.percentile_approx("doc_id", [k / files for k in range(1, files)], max(10000, 20 * files)) if files > 1 else F.array().alias("b")).first()[0] or []
     table = np.unique(np.array(bounds, np.int64))
-
-    @F.pandas_udf("int")
-    def file_of(ids):
-        return pd.Series(np.searchsorted(table, ids.to_numpy()).astype(np.int32))
-
-    encoded = rows.withColumn("file", file_of("doc_id")).select("doc_id", "file", "text").mapInArrow(compress, "doc_id long, file int, n long, frame binary")
+    encoded = rows.mapInArrow(compress, "doc_id long, file int, n long, frame binary")
 
     def gather(batches):
         """Segments of each file, and the tokens of the file before each."""
