@@ -1,40 +1,58 @@
 """Substring dedup with a count-min prefilter.
 
 The sketch counts anchors: the least 8-word gram hash of a window. Equal windows have equal anchors at different places, so
-an anchor's count, and any cell that it falls into, is never below the count of a window. Partitions send sparse sketches
-(cell, count) that are merged by addition; cells of two and more go to every task as a bitmap of fixed size. A full bitmap
-lets more windows through and loses none. The second pass groups the windows let through by a 128-bit hash, exactly.
+an anchor's count is never below the count of a window, nor is any cell that it falls into. The sketch has ROWS rows of
+`width` counters; the width is a power of two of some SPARE times the anchors that so many bytes of text have, so the sketch
+fits its data at any size. A row is cut into blocks of BLOCK counters. A task sends a sketch of its own: for each block the
+places that it counts, four bytes each, as nearly all of its counters are zero; tasks add up the blocks of all partitions in
+dense counters. A window may be repeated where its counter is two or more in all rows. These counters are known to the
+second pass by a Bloom filter sized by their number; where that would be larger than MOST_BITS, as many passes are made, each
+for a part of the cells. The second pass groups the windows let through by a 128-bit hash (two independent polynomials over
+the words' bytes), exactly. What the sketch or the filter let through in vain costs work and changes nothing.
 """
 
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, among, bloom, may_be_in, mix, per_partition, powers, prepare, save, span_hashes
+from .common import U64, among, bloom, mix, per_partition, powers, prepare, save, span_hashes
 
 WINDOW, GRAM = 35, 8
-#: Cells of the sketch (its rows are sparse), and bits of the bitmap of repeated cells.
-CELLS, REPEATED_BITS = 1 << 44, 1 << 26
+#: Rows of the sketch, counters to an anchor, counters of a block, and bytes of text to an anchor.
+ROWS, SPARE, BLOCK, ANCHOR_BYTES = 2, 4, 1 << 22, 20
+#: Bits of the Bloom filter: so many for each repeated counter, and at most so many in a pass.
+EACH_BITS, MOST_BITS = 12, 1 << 28
+#: Anchors that a task counts before it sends its sketch.
+HELD = 1 << 20
+_SEEDS = (0x452821E638D01377, 0xBE5466CF34E90C6C)
 _BYTES = 2 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+#: Another code for each byte, by which words get a second hash that has nothing to do with the first.
+_OTHER = mix(np.arange(256, dtype=U64) + U64(0x3F84D5B5B5470917))
 
 
 class Words:
     """Words of consecutive texts (UTF-8): their hashes, and which text each is of."""
 
     def __init__(self, texts: list[bytes]) -> None:
-        raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-        space = _SPACE[raw]
+        self.raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+        space = _SPACE[self.raw]
         before = np.concatenate(([True], space[:-1]))
-        starts, ends = np.flatnonzero(before & ~space), np.flatnonzero(space & ~before)
+        self.starts, self.ends = np.flatnonzero(before & ~space), np.flatnonzero(space & ~before)
         stops = np.cumsum([len(t) + 1 for t in texts])
-        self.text = np.searchsorted(stops, starts, "right")
-        self.first = np.searchsorted(starts, np.concatenate(([0], stops[:-1])))  # number of each text's first word
-        self.hashes = span_hashes(raw, starts, ends)
+        self.text = np.searchsorted(stops, self.starts, "right")
+        self.first = np.searchsorted(self.starts, np.concatenate(([0], stops[:-1])))  # number of each text's first word
+        self.hashes = span_hashes(self.raw, self.starts, self.ends)
+
+    def others(self) -> np.ndarray:
+        """The words' second hashes."""
+        return span_hashes(_OTHER[self.raw], self.starts, self.ends)
 
 
 def rolling(hashes: np.ndarray, width: int, seed: int) -> np.ndarray:
@@ -58,27 +76,58 @@ def least(x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def anchors(w: Words, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts of the windows that lie in one text, the cell of each window's anchor, and the anchor's place."""
+    """Starts of the windows that lie in one text, each window's anchor, and the anchor's place."""
     n = len(w.hashes) - window + 1
     if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, U64), np.zeros(0, np.int64)
     value, place = least(rolling(w.hashes, gram, 0x51ED270B), window - gram + 1)
     own = np.flatnonzero(w.text[:n] == w.text[window - 1 :])
-    return own, (value[own] % U64(CELLS)).astype(np.int64), place[own]
+    return own, value[own], place[own]
+
+
+def cells(anchor: np.ndarray, width: int) -> list[np.ndarray]:
+    """The counter of each anchor in each row, numbered through all rows."""
+    return [(mix(anchor ^ U64(_SEEDS[r])) & U64(width - 1)).astype(np.int64) + r * width for r in range(ROWS)]
+
+
+def pieces(text: bytes, window: int, most: int):
+    """A text as (words before, part): parts of about `most` bytes, each with the window - 1 words that follow it.
+
+    Every window lies whole in the part that its first word is of, and in no other."""
+    at = before = 0
+    while at < len(text):
+        own = _WORD.search(text, min(len(text), at + most))
+        cut = own.start() if own else len(text)
+        if own and cut and not _SPACE[text[cut - 1]]:  # within a word: the part goes on to its end
+            cut = own.end()
+        end, k = cut, 0
+        for m in _WORD.finditer(text, cut):
+            end, k = m.end(), k + 1
+            if k == window - 1:
+                break
+        yield before, text[at:end]
+        before += len(text[at:cut].split())
+        at = cut
 
 
-def chunks(texts: list[bytes | None]):
-    """Runs of texts of about _BYTES each (a longer text is a run of its own), as (first, texts)."""
+def chunks(texts: list[bytes | None], window: int, most: int | None = None):
+    """Runs of texts of about `most` bytes each, as (first, texts, words before); a longer text comes in pieces."""
+    most = most or _BYTES
     at, held, size = 0, [], 0
     for k, t in enumerate(texts):
         t = t or b""
-        if held and size + len(t) > _BYTES:
-            yield at, held
+        if held and size + len(t) > most:
+            yield at, held, 0
             at, held, size = k, [], 0
+        if len(t) > most:
+            for before, part in pieces(t, window, most):
+                yield k, [part], before
+            at = k + 1
+            continue
         held.append(t)
         size += len(t)
     if held:
-        yield at, held
+        yield at, held, 0
 
 
 def kept_words(text: bytes, starts: np.ndarray | None, window: int) -> tuple[int, int, list[bytes]]:
@@ -94,42 +143,96 @@ def kept_words(text: bytes, starts: np.ndarray | None, window: int) -> tuple[int
     return n, n - len(words), words
 
 
-def flagged(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int = REPEATED_BITS) -> DataFrame:
-    """docs: rid, text. Rows rid, starts (binary of int32): places of windows whose words also start elsewhere."""
-    spark = docs.sparkSession
+def width_for(n_bytes: int) -> int:
+    """Counters of a row of the sketch for so many bytes of text."""
+    return max(BLOCK, 1 << (SPARE * n_bytes // ANCHOR_BYTES).bit_length())
+
+
+def repeated_cells(docs: DataFrame, window: int, gram: int, width: int) -> DataFrame:
+    """cell: the counters of the merged sketch that are two or more."""
+    block = min(BLOCK, width)
 
     def sketch(batches):
-        for b in batches:
-            for _, texts in chunks(b["text"].cast(pa.binary()).to_pylist()):
-                _, cell, place = anchors(Words(texts), window, gram)
-                if len(cell):
-                    new = np.concatenate(([True], place[1:] != place[:-1]))  # an anchor counts once at a place
-                    c, n = np.unique(cell[new], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(n.astype(np.int64))], names=["cell", "n"])
+        held, n = [], 0
+
+        def out():
+            every = np.concatenate(held)
+            for r, cell in enumerate(cells(every, width)):
+                cell = np.sort(cell)
+                third = np.concatenate((cell[2:] == cell[:-2], [False, False]))[: len(cell)]
+                cell = cell[~third]  # a counter is told of two at most, as more make no difference
+                at = np.flatnonzero(np.concatenate(([True], cell[1:] // block != cell[:-1] // block)))
+                for part in np.split(cell, at[1:]):
+                    yield pa.RecordBatch.from_pydict({"block": [int(part[0]) // block], "body": pa.array([(part % block).astype("<u4").tobytes()], pa.binary())})
 
-    cells = docs.select("text").mapInArrow(sketch, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    repeated = spark.sparkContext.broadcast(bloom(cells.where("n > 1"), "cell", bits))
+        for b in batches:
+            for _, texts, _ in chunks(b["text"].cast(pa.binary()).to_pylist(), window):
+                _, anchor, place = anchors(Words(texts), window, gram)
+                if len(anchor):
+                    held.append(anchor[np.concatenate(([True], place[1:] != place[:-1]))])  # an anchor counts once at a place
+                    n += len(held[-1])
+                if n >= HELD:
+                    yield from out()
+                    held, n = [], 0
+        if held:
+            yield from out()
+
+    def add_up(t: pa.Table) -> pa.Table:
+        counts = np.zeros(block, np.uint8)
+        for body in t["body"]:
+            place, n = np.unique(np.frombuffer(body.as_py(), "<u4"), return_counts=True)
+            counts[place] = np.minimum(counts[place] + n.astype(np.uint8), 2)
+        return pa.table({"cell": np.flatnonzero(counts > 1) + t["block"][0].as_py() * block})
+
+    return docs.select("text").mapInArrow(sketch, "block long, body binary").groupBy("block").applyInArrow(add_up, "cell long")
+
+
+def flagged(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, width: int | None = None, most_bits: int = MOST_BITS) -> DataFrame:
+    """docs: rid (unique), text. Rows rid, starts (binary of int32): places of windows whose words also start elsewhere."""
+    width = width or width_for(docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0])
+    repeated = save(repeated_cells(docs, window, gram, width), "repeated")
+    bits = 1 << max(6, (EACH_BITS * repeated.count()).bit_length())
+    passes = max(1, bits // most_bits)
+    out = None
+    for k in range(passes):
+        words = bloom(repeated if passes == 1 else repeated.where(F.col("cell") % passes == k), "cell", bits // passes)
+        part = save(one_pass(docs, window, gram, width, words, k, passes), "marks")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def one_pass(docs: DataFrame, window: int, gram: int, width: int, words: np.ndarray, turn: int, passes: int) -> DataFrame:
+    """`flagged` for the windows whose counter in the first row is of this turn. The filter has this turn's counters only."""
+    repeated = docs.sparkSession.sparkContext.broadcast(words)
+
+    def maybe_repeated(anchor):
+        fit = np.ones(len(anchor), bool)
+        for r, cell in enumerate(cells(anchor, width)):
+            if r == 0:
+                fit &= cell % passes == turn
+            fit[fit] = among(repeated.value, cell[fit]) | (cell[fit] % passes != turn)
+        return fit
 
     def windows(batches):
         names = ["h1", "h2", "rid", "place", "starts"]
         for b in batches:
             rids = b["rid"].to_numpy()
-            for first, texts in chunks(b["text"].cast(pa.binary()).to_pylist()):
+            for first, texts, before in chunks(b["text"].cast(pa.binary()).to_pylist(), window):
                 w = Words(texts)
-                own, cell, _ = anchors(w, window, gram)
+                own, anchor, _ = anchors(w, window, gram)
                 if not len(own):
                     continue
-                maybe = own[among(repeated.value, cell)]
+                maybe = own[maybe_repeated(anchor)]
                 if not len(maybe):
                     continue
-                h1, h2 = rolling(w.hashes, window, 0x2545F491)[maybe].view(np.int64), rolling(w.hashes, window, 0x6A09E667)[maybe].view(np.int64)
+                h1, h2 = rolling(w.hashes, window, 0x2545F491)[maybe].view(np.int64), rolling(w.others(), window, 0x6A09E667)[maybe].view(np.int64)
                 order = np.lexsort((h2, h1))
                 h1, h2, maybe = h1[order], h2[order], maybe[order]
                 new = np.concatenate(([True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])))
                 at = np.flatnonzero(new)
                 size = np.diff(np.append(at, len(new)))
                 of = w.text[maybe]
-                place = (maybe - w.first[of]).astype(np.int32)
+                place = (maybe - w.first[of] + before).astype(np.int32)
                 # A window that this chunk repeats is decided here; one row tells the others of it, with place -1.
                 sent = np.where(size > 1, -1, place[at]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(h1[at]), pa.array(h2[at]), pa.array(rids[first + of[at]]), pa.array(sent), pa.nulls(len(at), pa.binary())], names=names)
@@ -150,7 +253,6 @@ def flagged(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int =
     def group(batches):
         """Rows come sorted by h1, h2. The last run of a batch waits for the next one."""
         key, waits, open_ = None, None, False  # of the run at the end: its hashes, a row not yet decided, whether it is repeated
-        done: list = []
         for b in batches:
             place = b["place"].to_numpy()
             if (ready := place == -2).any():
@@ -165,8 +267,6 @@ def flagged(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int =
             goes_on = key == (h1[0], h2[0])
             if goes_on:
                 weight[0] += 2 if open_ else 1
-                if waits is not None:
-                    done.append(waits)
             size = np.diff(np.append(at, len(h1)))
             hit = np.repeat(weight > 1, size) & (place >= 0)
             got = [(rid[hit], place[hit])]
@@ -183,33 +283,41 @@ def flagged(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int =
     return dealt.mapInArrow(group, "rid long, starts binary")
 
 
-def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int = REPEATED_BITS, texts: bool = False) -> DataFrame:
+def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, width: int | None = None, most_bits: int = MOST_BITS, texts: bool = False) -> DataFrame:
     """A row for each row of docs: doc_id, n_words, n_removed, kept_sha256 (texts: and kept, the words joined by spaces).
 
     Every word that lies in a window of `window` words is removed if these words also start anywhere else, in the same text
-    too. Null texts have no words; texts of fewer words than a window keep all of them; equal rows lose what they share.
-    No rows give no rows."""
+    too. Null and empty texts have no words; texts of fewer words than a window keep all of them; equal rows, and rows of one
+    id, are rows of their own and lose what they share. Long texts are worked through in pieces. Other columns of docs are
+    ignored. No rows give no rows."""
     prepare(spark := docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("rid"))
-    marks = save(flagged(rows.select("rid", "text"), window, gram, bits), "marks")
-    test = may_be_in(spark, bloom(marks, "rid"))
+    rows = save(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("rid")), "numbered")
+    marks = flagged(rows.select("rid", "text"), window, gram, width, most_bits)
+    words = spark.sparkContext.broadcast(bloom(marks, "rid"))
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts
 
-    def finish(batches):
+    def finish(batches, untouched: bool):
         for b in batches:
+            if untouched:
+                b = b.filter(pa.array(~among(words.value, b["rid"].to_numpy())))
             out = []
-            for i, t, marks in zip(b["doc_id"].to_pylist(), b["text"].cast(pa.binary()).to_pylist(), b["marks"].to_pylist() if "marks" in b.schema.names else [None] * b.num_rows, strict=True):
-                starts = np.unique(np.concatenate([np.frombuffer(m, "<i4") for m in marks])).astype(np.int64) if marks else None
-                n, removed, words = kept_words(t or b"", starts, window)
-                flat = b" ".join(words)
-                out.append((i, n, removed, hashlib.sha256(flat).hexdigest(), *[flat.decode()] * texts))
+            for i, t, some in zip(b["doc_id"], b["text"].cast(pa.binary()), b["marks"].to_pylist() if "marks" in b.schema.names else [None] * b.num_rows, strict=True):
+                starts = np.unique(np.concatenate([np.frombuffer(m, "<i4") for m in some])).astype(np.int64) if some else None
+                n, removed, left = kept_words(t.as_py() or b"", starts, window)
+                flat = b" ".join(left)
+                out.append((i.as_py(), n, removed, hashlib.sha256(flat).hexdigest(), *[flat.decode()] * texts))
             if out:
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds, strict=False)], names=["doc_id", "n_words", "n_removed", "kept_sha256", *["kept"] * texts])
 
+    def chosen(batches):
+        for b in batches:
+            yield b.filter(pa.array(among(words.value, b["rid"].to_numpy())))
+
     by_rid = marks.groupBy(F.col("rid").alias("r")).agg(F.collect_list("starts").alias("marks"))
-    touched = rows.where(test("rid")).join(by_rid, F.col("rid") == F.col("r"), "left").select("doc_id", "text", "marks")
-    return rows.where(~test("rid")).select("doc_id", "text").mapInArrow(finish, schema).unionByName(touched.mapInArrow(finish, schema))
+    touched = rows.mapInArrow(chosen, "doc_id long, text string, rid long")  # by the filter, so other texts are not moved
+    touched = touched.join(by_rid, F.col("rid") == F.col("r"), "left").select("doc_id", "text", "marks")
+    return rows.mapInArrow(lambda x: finish(x, True), schema).unionByName(touched.mapInArrow(lambda x: finish(x, False), schema))
 
 
 ORACLE = r"""

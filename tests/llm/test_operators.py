@@ -182,9 +182,20 @@ def brute_substrings(rows, window):
         yield r[0], len(w), len(gone), sha(" ".join(x for j, x in enumerate(w) if j not in gone))
 
 
-@pytest.mark.parametrize(("window", "gram", "bits"), [(35, 8, 1 << 20), (5, 2, 64), (3, 3, 1 << 20)])
-def test_substring_dedup(docs, rows, empty, window, gram, bits):
-    got = rows_of(substrings.substring_dedup(docs, window, gram, bits))  # a full bitmap loses nothing
+@pytest.mark.parametrize(("window", "gram", "width", "bits", "piece"), [(35, 8, None, 1 << 28, None), (5, 2, 64, 64, 50), (3, 3, None, 1 << 12, 200)])
+def test_substring_dedup(docs, rows, empty, window, gram, width, bits, piece):
+    """Also with a full sketch and filter, several passes, and texts in pieces."""
+    old, substrings._BYTES = substrings._BYTES, piece or substrings._BYTES
+    try:
+        if piece:  # functions that go to the workers carry the module's values only where they are their own
+            for t in ("", "a", " a  b\n", words(random.Random(1), 90), "x" * 300 + " y"):
+                parts = list(substrings.pieces(t.encode(), window, piece))
+                got = [(before + k, w[k : k + window]) for before, part in parts for w in [part.split()] for k in range(len(w) - window + 1)]
+                w = t.encode().split()
+                assert got == [(k, w[k : k + window]) for k in range(len(w) - window + 1)]
+        got = rows_of(substrings.substring_dedup(docs, window, gram, width, bits))
+    finally:
+        substrings._BYTES = old
     assert sorted(tuple(g.values()) for g in got) == sorted(brute_substrings(rows, window))
     if window == 35:
         assert any(g["n_removed"] for g in got)
@@ -192,6 +203,23 @@ def test_substring_dedup(docs, rows, empty, window, gram, bits):
         assert all(sha(g["kept"]) == g["kept_sha256"] for g in rows_of(substrings.substring_dedup(docs, texts=True)))
 
 
+def test_the_sketch_overestimates_and_prefilters(docs, rows):
+    """All counters of repeated anchors are two or more in the merged sketch; of the others hardly any."""
+    width = substrings.width_for(sum(len((r[1] or "").encode()) for r in rows))
+    over = {c["cell"] for c in rows_of(substrings.repeated_cells(docs.repartition(5), 35, 8, width))}
+    counts, place = collections.Counter(), set()
+    for k, r in enumerate(rows):
+        _, anchor, at = substrings.anchors(substrings.Words([(r[1] or "").encode()]), 35, 8)
+        for x, y in zip(anchor.tolist(), at.tolist(), strict=True):
+            if (k, y) not in place:
+                place.add((k, y))
+                counts[x] += 1
+    of = lambda x: [int(c[0]) for c in substrings.cells(np.array([x], np.uint64), width)]
+    assert all(set(of(x)) <= over for x, n in counts.items() if n > 1) and any(n > 1 for n in counts.values())
+    alone = [x for x, n in counts.items() if n == 1]
+    assert sum(set(of(x)) <= over for x in alone) <= 0.01 * len(alone) + 1
+
+
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
