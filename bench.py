@@ -32,7 +32,7 @@ def assessment(spark: SparkSession, sf_dir: str) -> int:
     episodes = spans.groupBy("episode_id").agg(F.max("end_time").alias("duration_seconds"))
     model = vectors.HashingProvider(64)
     found = vectors.generate(spans, "span", model).unionByName(vectors.generate(beats, "beat", model))
-    a = assessor.Assessor(near_limit=0).run(episodes, spans, beats, found)
+    a = assessor.Assessor(near_duplicates=False).run(episodes, spans, beats, found)
     return sum(a.metrics[f"integrity_{level}"]["total_segments"] for level in ("spans", "beats"))
 
 

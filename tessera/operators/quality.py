@@ -61,8 +61,10 @@ def duration_statistics(segments: DataFrame, exact: bool = True) -> DataFrame:
 
     exact: interpolated percentiles; otherwise percentile_approx, whose state is bounded."""
     d = segments.select(duration_of(segments).cast("double").alias("d")).where(~missing(F.col("d")) & (F.col("d") >= 0))
-    p = (lambda q: F.percentile("d", F.lit(q))) if exact else (lambda q: F.percentile_approx("d", q, 10000))
-    return d.agg(F.count(F.lit(1)).alias("count"), *[F.round(c, 2).alias(n) for n, c in (("min", F.min("d")), ("max", F.max("d")), ("mean", F.avg("d")), ("median", p(0.5)), ("p5", p(0.05)), ("p95", p(0.95)), ("std", F.stddev_samp("d")))])
+    shares = [0.5, 0.05, 0.95]  # in one aggregate, so that the values are kept once
+    p = F.percentile("d", F.array(*map(F.lit, shares))) if exact else F.percentile_approx("d", shares, 10000)
+    got = d.agg(F.count(F.lit(1)).alias("count"), F.min("d").alias("min"), F.max("d").alias("max"), F.avg("d").alias("mean"), p.alias("p"), F.stddev_samp("d").alias("std"))
+    return got.select("count", *[F.round(c, 2).alias(n) for n, c in (("min", "min"), ("max", "max"), ("mean", "mean"), ("median", F.get("p", F.lit(0))), ("p5", F.get("p", F.lit(1))), ("p95", F.get("p", F.lit(2))), ("std", "std"))])
 
 
 def length_compliance(segments: DataFrame, least: float, most: float) -> DataFrame:

@@ -38,14 +38,15 @@ def _row(df: DataFrame) -> dict:
     return got.asDict(recursive=True) if got else {}
 
 
-def _rows(df: DataFrame, most: int = 1000) -> list[dict]:
-    return [r.asDict(recursive=True) for r in df.limit(most).collect()]
+def _rows(df: DataFrame) -> list[dict]:
+    """All rows of a report's table: rankings, histograms, and violations, at most a short row for each rule and episode."""
+    return [r.asDict(recursive=True) for r in df.collect()]
 
 
 class Assessor:
-    def __init__(self, thresholds: rules.Thresholds | None = None, near_duplicates: bool = False, near_limit: int = 10_000) -> None:
-        """near_duplicates: look for them in tables of more than near_limit rows too."""
-        self.t, self.near, self.near_limit = thresholds or rules.Thresholds(), near_duplicates, near_limit
+    def __init__(self, thresholds: rules.Thresholds | None = None, near_duplicates: bool = True) -> None:
+        """near_duplicates: look for them, whatever the size of the tables; their metrics are left out otherwise."""
+        self.t, self.near = thresholds or rules.Thresholds(), near_duplicates
 
     def run(self, episodes: DataFrame, spans: DataFrame, beats: DataFrame, embeddings: DataFrame | None = None, levels: tuple[str, ...] = ("spans", "beats")) -> Assessment:
         """episodes: episode_id, duration_seconds."""
@@ -102,7 +103,7 @@ class Assessor:
         m["exact_duplicate_count"] = int(groups.agg(F.coalesce(F.sum("duplicate_count"), F.lit(0))).first()[0])
         m["exact_duplicate_percent"] = round(100 * m["exact_duplicate_count"] / total, 2)
         out.tables[f"duplicates_{level}"] = quality.duplicate_rows(df, id_col)
-        if self.near or total <= self.near_limit:
+        if self.near:
             near = quality.near_duplicates(df.join(out.tables[f"duplicates_{level}"], id_col, "left_anti"), id_col, self.t.near_duplicate_threshold)
             n, clusters = near.agg(F.count(F.lit(1)), F.count_distinct("leader_id")).first()
             m["near_duplicate_count"] = n - clusters

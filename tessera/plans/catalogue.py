@@ -442,10 +442,10 @@ def cosine_topk(spark, sf_dir):
     return _neighbours(spark, sf_dir)[0]
 
 
-@query(f"with {VECTORS}, nb as (select a.artifact_id as query_id, b.artifact_id as neighbor_id, {r('list_dot_product(a.v, a.v) + list_dot_product(b.v, b.v) - 2 * list_dot_product(a.v, b.v)', 6)} as score from e a join e b on a.artifact_id <> b.artifact_id where a.artifact_id % 50 = 0) select query_id, neighbor_id, score, row_number() over (partition by query_id order by score, neighbor_id)::int as rank from nb qualify rank <= 3")
+@query(f"with {VECTORS}, nb as (select a.artifact_id as query_id, b.artifact_id as neighbor_id, {r('list_dot_product(a.v, a.v) + list_dot_product(b.v, b.v) - 2 * list_dot_product(a.v, b.v)', 6)} as score from e a join e b on a.artifact_id <> b.artifact_id where a.artifact_id % 20 = 0) select query_id, neighbor_id, score, row_number() over (partition by query_id order by score, neighbor_id)::int as rank from nb qualify rank <= 3")
 def l2_search(spark, sf_dir):
     v = relations.vectors(spark, sf_dir)
-    return vectors.top_k(v.where("artifact_id % 50 = 0"), v, 3, metric="l2")
+    return vectors.top_k(v.where("artifact_id % 20 = 0"), v, 3, metric="l2")
 
 
 @query(_leakage_sql("qs = ns"))

@@ -31,23 +31,25 @@ def _typed(lines: DataFrame) -> DataFrame:
     return variant.select("source_file", "line", *[c for n in FIELDS for c in field(n)], F.col("keys").alias("present"), F.col("value").alias("raw"))
 
 
-def _whole(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    reader = spark.read.option("wholetext", True)
+def _whole(spark: SparkSession, path: str, pattern: str | None = None, skip: bool = False) -> DataFrame:
+    reader = spark.read.option("wholetext", True).option("ignoreCorruptFiles", skip)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     return reader.format("text").load(path).select(F.col("_metadata.file_path").alias("source_file"), "value")
 
 
-def read_jsonl(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """One object per line; blank and malformed lines are skipped. Lines count from 0."""
-    lines = _whole(spark, path, pattern).select("source_file", F.posexplode(F.split("value", "\r?\n")).alias("line", "value"))
+def read_jsonl(spark: SparkSession, path: str, pattern: str | None = None, skip: bool = False) -> DataFrame:
+    """One object per line; blank and malformed lines are skipped. Lines count from 0. skip: so are files that can't be read."""
+    lines = _whole(spark, path, pattern, skip).select("source_file", F.posexplode(F.split("value", "\r?\n")).alias("line", "value"))
     return _typed(lines.where(F.trim("value") != ""))
 
 
-def read_json(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """A list of rows, an object with `utterances`, or one row; malformed files are an error."""
-    files = _whole(spark, path, pattern)
-    good = files.withColumn("_v", F.expr("parse_json(value)"))  # fails on a malformed file
+def read_json(spark: SparkSession, path: str, pattern: str | None = None, skip: bool = False) -> DataFrame:
+    """A list of rows, an object with `utterances`, or one row; malformed files are an error, or skipped."""
+    files = _whole(spark, path, pattern, skip)
+    good = files.withColumn("_v", F.expr(f"{'try_' * skip}parse_json(value)"))  # fails on a malformed file
+    if skip:
+        good = good.where("_v is not null")
     kind = F.expr("schema_of_variant(_v)")
     rows = F.when(kind.startswith("ARRAY"), F.from_json("value", "array<string>")).when(F.expr("array_contains(json_object_keys(value), 'utterances')"), F.from_json(F.get_json_object("value", "$.utterances"), "array<string>")).otherwise(F.array("value"))
     return _typed(good.select("source_file", F.posexplode(rows).alias("line", "value")))
@@ -76,13 +78,8 @@ def read_transcript(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_directory(spark: SparkSession, folder: str, pattern: str = "*.jsonl") -> DataFrame:
-    """All files of a folder that match, in one job; rows keep their file. Unreadable files are skipped."""
-    before = spark.conf.get("spark.sql.files.ignoreCorruptFiles")
-    spark.conf.set("spark.sql.files.ignoreCorruptFiles", "true")
-    try:
-        return read_jsonl(spark, folder, pattern) if pattern.endswith("jsonl") else read_json(spark, folder, pattern)
-    finally:
-        spark.conf.set("spark.sql.files.ignoreCorruptFiles", before)
+    """All files of a folder that match, in one job; rows keep their file. Unreadable and malformed files are skipped."""
+    return read_jsonl(spark, folder, pattern, skip=True) if pattern.endswith("jsonl") else read_json(spark, folder, pattern, skip=True)
 
 
 def episode_ids(rows: DataFrame) -> DataFrame:
