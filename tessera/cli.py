@@ -43,7 +43,8 @@ def parser() -> argparse.ArgumentParser:
     command("validate", ("--artifact-type", {"choices": sorted(SCHEMA_OF)}), ("--output-format", {"choices": ["text", "json"], "default": "text"}), ("--save-report", flag), ("--output-dir", {}), ("--detailed", flag), ("--fail-fast", flag))
     command("quality", ("--level", {"choices": ["spans", "beats", "all"], "default": "all"}), ("--output-dir", {"default": "quality"}), ("--sample-size", {"type": int}), ("--neighbor-k", {"type": int}), ("--coverage-min", {"type": float}), ("--span-length-min", {"type": float}), ("--span-length-max", {"type": float}), ("--beat-length-min", {"type": float}), ("--beat-length-max", {"type": float}), ("--no-timestamp", flag), ("--force-duplicate-check", flag))
     c = command("snapshot", ("--snapshot-root", {}), ("--snapshot-version", {}), ("--check", {"metavar": "PATH", "help": "validate a snapshot instead"}))
-    c.add_argument("--qa-status", default="UNKNOWN")
+    c.add_argument("--qa-status", help="instead of the newest report's")
+    c.add_argument("--qa-reports", default="quality")
     return p
 
 
@@ -135,7 +136,7 @@ def snapshots(a, lake: Lake, config: Config) -> int:
     c = config.section("snapshot")
     v = c["version"]
     start = a.snapshot_version or snapshot.format_version((v["major"], v["minor"], v["patch"], v["suffix"]))
-    print(snapshot.create(lake, a.snapshot_root or c["root"], start, a.version, c["auto_increment"], a.qa_status))
+    print(snapshot.create(lake, a.snapshot_root or c["root"], start, a.version, c["auto_increment"], a.qa_status, a.qa_reports))
     return 0
 
 

@@ -14,10 +14,22 @@ from . import intervals
 # Coverage
 
 
+def in_seconds(episodes: DataFrame) -> DataFrame:
+    """episodes with duration_seconds: as given, else duration_minutes * 60, else duration; none of them is an error."""
+    if "duration_seconds" in episodes.columns:
+        return episodes
+    if "duration_minutes" in episodes.columns:
+        return episodes.withColumn("duration_seconds", F.col("duration_minutes") * 60)
+    if "duration" in episodes.columns:
+        return episodes.withColumn("duration_seconds", F.col("duration"))
+    raise ValueError("episodes have none of duration_seconds, duration_minutes and duration")
+
+
 def episode_coverage(episodes: DataFrame, spans: DataFrame, beats: DataFrame) -> DataFrame:
     """Each episode's coverage by spans (their union, at most 100 %) and by beats (summed durations, not capped), and counts.
 
-    episodes: episode_id, duration_seconds."""
+    episodes: episode_id and a length, as in_seconds takes it."""
+    episodes = in_seconds(episodes)
     s = intervals.union_duration(spans, "episode_id").withColumnRenamed("union_duration", "span_seconds")
     ns = spans.groupBy("episode_id").agg(F.count(F.lit(1)).alias("span_count"))
     b = beats.groupBy("episode_id").agg(F.count(F.lit(1)).alias("beat_count"), F.sum(F.col("end_time") - F.col("start_time")).alias("beat_seconds"))

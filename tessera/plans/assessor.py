@@ -49,7 +49,8 @@ class Assessor:
         self.t, self.near = thresholds or rules.Thresholds(), near_duplicates
 
     def run(self, episodes: DataFrame, spans: DataFrame, beats: DataFrame, embeddings: DataFrame | None = None, levels: tuple[str, ...] = ("spans", "beats")) -> Assessment:
-        """episodes: episode_id, duration_seconds."""
+        """episodes: episode_id and duration_seconds, duration_minutes or duration."""
+        episodes = quality.in_seconds(episodes)
         out = Assessment(self.t)
         tables = {"spans": spans.persist(), "beats": beats.persist()}
         try:

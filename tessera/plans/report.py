@@ -1,10 +1,11 @@
 """Reports of an assessment and of table checks: Markdown, JSON, CSV, console."""
 
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources import sinks
+from ..sources import sinks, tables
 from .assessor import Assessment
 
 #: What to do about the violations of a family.
@@ -76,6 +77,32 @@ def save(a: Assessment, spark: SparkSession, folder: str, stamp: str | None = No
     return root
 
 
+_STAMP = re.compile(r"\d{8}_\d{6}")
+#: The status line of a Markdown report, with or without emphasis.
+_STATUS = re.compile(r"status[\s:*_]*\b(GREEN|AMBER|RED|PASS|FAIL)\b", re.I)
+
+
+def latest(spark: SparkSession, folder: str) -> str | None:
+    """The report folder of the newest stamp (YYYYMMDD_HHMMSS) that holds a Markdown report."""
+    found = [p for p, *_ in tables.listing(spark, f"{folder}/*/report/quality_assessment.md") if _STAMP.fullmatch(p.split("/")[-3])]
+    return max(found, key=lambda p: p.split("/")[-3]).rsplit("/", 2)[0] if found else None
+
+
+def status_of(spark: SparkSession, root: str) -> str:
+    """GREEN, AMBER or RED of a saved report: its figures tell, else the status line of its Markdown; UNKNOWN without either."""
+    if tables.exists(spark, f"{root}/metrics/global.json"):
+        try:
+            given = json.loads(sinks.read_text(spark, f"{root}/metrics/global.json"))
+        except ValueError:
+            given = None
+        if isinstance(given, dict) and isinstance(given.get("status"), str):
+            return given["status"].upper()
+    text = sinks.read_text(spark, f"{root}/report/quality_assessment.md") if tables.exists(spark, f"{root}/report/quality_assessment.md") else ""
+    if not (m := _STATUS.search(text)):
+        return "UNKNOWN"
+    return {"PASS": "GREEN", "FAIL": "RED"}.get(m[1].upper(), m[1].upper())
+
+
 def validation_text(checks: DataFrame, name: str = "", detailed: bool = False) -> str:
     """Counts of one table's checks, the failed ones, and with detailed all of them."""
     rows = [r.asDict() for r in checks.collect()]

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import sinks, tables
+from . import report
 from .layout import ARTIFACTS, SCHEMA_OF, Lake
 
 _VERSION = re.compile(r"^v?(\d+)\.(\d+)\.(\d+)(?:-([0-9A-Za-z.-]+))?$")
@@ -51,8 +52,20 @@ def writable(spark: SparkSession, root: str) -> bool:
 def checksums(spark: SparkSession, folder: str) -> DataFrame:
     """path (below folder), bytes, sha256 of each file, hidden ones aside."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    below = F.regexp_replace(F.regexp_replace("path", "^[a-z]+:/*", "/"), f"^{re.escape(re.sub('^[a-z]+:/*', '/', folder)).replace(chr(92) + '/', '/')}/", "")
-    return files.select(below.alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    return files.select(_below(F.col("path"), folder).alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def rows_by_file(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Rows of each Parquet file below folder that has any, in one job."""
+    if not any(tables.exists(spark, f"{folder}/{deep}*.parquet") for deep in ("", "*/", "*/*/", "*/*/*/")):
+        return {}
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").schema("_none int").parquet(folder)
+    return {r.path: r["count"] for r in files.groupBy(_below(F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B")), folder).alias("path")).count().collect()}
+
+
+def _below(path, folder: str):
+    """The part of a file's path below folder."""
+    return F.regexp_replace(F.regexp_replace(path, "^[a-z]+:/*", "/"), f"^{re.escape(re.sub('^[a-z]+:/*', '/', folder)).replace(chr(92) + '/', '/')}/", "")
 
 
 def _copy(spark: SparkSession, source: str, target: str) -> None:
@@ -69,10 +82,12 @@ def git_commit() -> str | None:
         return None
 
 
-def create(lake: Lake, root: str, version: str = "v0.1.0", lake_version: str = "v1", auto_increment: bool = True, qa_status: str = "UNKNOWN") -> str:
-    """Copies every artifact of a lake version below root/<version>, with a manifest and a note; returns its path.
+def create(lake: Lake, root: str, version: str = "v0.1.0", lake_version: str = "v1", auto_increment: bool = True, qa_status: str | None = None, reports: str | None = None) -> str:
+    """Copies every artifact of a lake version, its catalogs and the newest report below root/<version>, with a manifest and a
+    note; returns its path.
 
-    The status of the assessment is given, not read from a report. The copy is validated before it is returned."""
+    reports: the folder of stamped quality reports. The status is that given, else the newest report's, else UNKNOWN. The
+    copy is validated before it is returned."""
     spark = lake.spark
     if not writable(spark, root):
         raise PermissionError(root)
@@ -84,8 +99,14 @@ def create(lake: Lake, root: str, version: str = "v0.1.0", lake_version: str = "
             rows[a] = tables.row_count(spark, f"{out}/{a}")
     if not rows:
         raise FileNotFoundError(f"{lake.root} has nothing of {lake_version}")
+    if tables.exists(spark, f"{lake.catalogs}/*"):
+        _copy(spark, lake.catalogs, f"{out}/catalogs")
+    if newest := report.latest(spark, reports) if reports else None:
+        _copy(spark, newest, f"{out}/quality_report")
+    qa_status = qa_status or (report.status_of(spark, newest) if newest else "UNKNOWN")
+    held = rows_by_file(spark, out)
     files = [
-        {"path": r.path, "media_type": MEDIA.get(r.path.rsplit(".", 1)[-1], "application/octet-stream"), "bytes": r.bytes, "sha256": r.sha256, "rows": None, "notes": ""}
+        {"path": r.path, "media_type": MEDIA.get(r.path.rsplit(".", 1)[-1], "application/octet-stream"), "bytes": r.bytes, "sha256": r.sha256, "rows": held.get(r.path), "notes": ""}
         for r in checksums(spark, out).orderBy("path").collect()
     ]
     manifest = {

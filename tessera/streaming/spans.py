@@ -27,12 +27,15 @@ def speech_windows(stream: DataFrame, gap_seconds: float = 0.5, late: str = "10
 
 
 class SpanProcessor(StatefulProcessor):
-    """The open span of each episode; a change of speaker or longer silence closes it. Rows of an episode must come in order of files."""
+    """The open span of each episode; a change of speaker or longer silence closes it. Rows of an episode must come in order of files.
 
-    def __init__(self, max_gap: float, min_duration: float) -> None:
-        self.max_gap, self.min_duration = max_gap, min_duration
+    An episode that gets no rows for `idle_seconds` of processing time has its last span closed and its state removed."""
+
+    def __init__(self, max_gap: float, min_duration: float, idle_seconds: float = 600.0) -> None:
+        self.max_gap, self.min_duration, self.idle_ms = max_gap, min_duration, int(idle_seconds * 1000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.open = handle.getValueState("open", "speaker string, start_time double, end_time double, text string, utterances int")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -46,6 +49,17 @@ class SpanProcessor(StatefulProcessor):
                 now = (r.speaker, r.start, r.end, r.text, 1)
         if now is not None:
             self.open.update(now)
+            for at in list(self.handle.listTimers()):
+                self.handle.deleteTimer(at)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+        yield from self._kept(key, closed)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        last = [self.open.get()] if self.open.exists() else []
+        self.open.clear()
+        yield from self._kept(key, last)
+
+    def _kept(self, key, closed: list) -> Iterator[pd.DataFrame]:
         kept = [(key[0], *s) for s in closed if s[2] - s[1] >= self.min_duration]
         if kept:
             yield pd.DataFrame(kept, columns=["episode_id", "speaker", "start_time", "end_time", "text", "utterances"])
@@ -54,6 +68,8 @@ class SpanProcessor(StatefulProcessor):
         pass
 
 
-def span_stream(stream: DataFrame, max_gap: float = 0.5, min_duration: float = 1.0) -> DataFrame:
-    """Spans by speaker and silence, each emitted when the next one of its episode begins."""
-    return stream.groupBy("episode_id").transformWithStateInPandas(SpanProcessor(max_gap, min_duration), SPAN, "Append", "None")
+def span_stream(stream: DataFrame, max_gap: float = 0.5, min_duration: float = 1.0, idle_seconds: float = 600.0) -> DataFrame:
+    """Spans by speaker and silence, each emitted when the next one of its episode begins, the last one when the episode has been idle.
+
+    Needs the RocksDB state store. Timers fire with the batches, so a trigger must go on after the last files."""
+    return stream.groupBy("episode_id").transformWithStateInPandas(SpanProcessor(max_gap, min_duration, idle_seconds), SPAN, "Append", "ProcessingTime")

@@ -143,6 +143,18 @@ def test_snapshots(spark, lake, tmp_path):
     assert snapshot.create(lk, root, "v1.0.0").endswith("v1.0.1")
     with pytest.raises(FileExistsError):
         snapshot.create(lk, root, "v1.0.0", auto_increment=False)
+    reports = str(tmp_path / "reports")
+    for stamp, status in (("20250101_000000", "GREEN"), ("20250301_000000", "RED"), ("zz", "GREEN")):
+        os.makedirs(f"{reports}/{stamp}/report")
+        open(f"{reports}/{stamp}/report/quality_assessment.md", "w").write(f"# Report\n\n**Overall status:** **{status}**\n\n| x | green |\n")
+    assert report.latest(spark, reports).endswith("20250301_000000") and report.latest(spark, str(tmp_path / "no")) is None
+    assert report.status_of(spark, f"{reports}/20250101_000000") == "GREEN" and report.status_of(spark, reports) == "UNKNOWN"
+    other = snapshot.create(lk, root, "v1.0.0", reports=reports)
+    n = json.loads(open(f"{other}/lake_manifest.json").read())
+    assert n["qa_status"] == "RED" and snapshot.validate(spark, other)["warnings"]
+    rows = {f["path"]: f["rows"] for f in n["files"]}
+    assert sum(v for k, v in rows.items() if k.startswith("spans/") and v) == n["contracts"]["spans"]["rows"]
+    assert rows["quality_report/report/quality_assessment.md"] is None
     victim = next(f["path"] for f in m["files"] if f["path"].endswith(".parquet"))
     body = bytearray(open(f"{at}/{victim}", "rb").read())
     body[10] ^= 1

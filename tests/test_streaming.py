@@ -31,14 +31,35 @@ def test_span_processor():
         def update(self, v):
             self.value = v
 
+        def clear(self):
+            self.value = None
+
+    class Now:
+        def getCurrentProcessingTimeInMs(self):
+            return 5000
+
     class Handle:
+        timers = ()
+
+        def listTimers(self):
+            return iter(self.timers)
+
+        def deleteTimer(self, at):
+            self.timers = tuple(t for t in self.timers if t != at)
+
+        def registerTimer(self, at):
+            self.timers += (at,)
+
         def getValueState(self, *a):
             return State()
 
-    p = spans.SpanProcessor(0.5, 1.0)
-    p.init(Handle())
+    p = spans.SpanProcessor(0.5, 1.0, 60)
+    p.init(handle := Handle())
     rows = pd.DataFrame([(0.0, 2.0, "A", "x"), (2.0, 4.0, "A", "y"), (4.0, 4.5, "B", "z"), (9.0, 11.0, "B", "w")], columns=["start", "end", "speaker", "text"])
-    got = pd.concat(list(p.handleInputRows(("E",), iter([rows.iloc[:2], rows.iloc[2:]]), None)))
+    got = pd.concat(list(p.handleInputRows(("E",), iter([rows.iloc[:2], rows.iloc[2:]]), Now())))
     assert got.values.tolist() == [["E", "A", 0.0, 4.0, "x y", 2]]
-    more = pd.concat(list(p.handleInputRows(("E",), iter([pd.DataFrame([(20.0, 21.0, "A", "v")], columns=rows.columns)]), None)))
-    assert more.values.tolist() == [["E", "B", 9.0, 11.0, "w", 1]]
+    more = pd.concat(list(p.handleInputRows(("E",), iter([pd.DataFrame([(20.0, 21.0, "A", "v")], columns=rows.columns)]), Now())))
+    assert more.values.tolist() == [["E", "B", 9.0, 11.0, "w", 1]] and handle.timers == (65000,)
+    last = pd.concat(list(p.handleExpiredTimer(("E",), Now(), None)))
+    assert last.values.tolist() == [["E", "A", 20.0, 21.0, "v", 1]] and not p.open.exists()
+    assert list(p.handleExpiredTimer(("E",), Now(), None)) == []
