@@ -152,7 +152,7 @@ def simhash_links(rows: DataFrame) -> DataFrame:
 
 
 def near_roots(docs: DataFrame, sketch: np.ndarray, known: DataFrame) -> DataFrame:
-    """node, root for each node that isn't the smallest of its component. known: links u, v that hold already."""
+    """node, root for each node that isn't the smallest of its component. known: links that hold already, of each node v with the smallest one u of its component."""
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast(sketch)
     heads = save(prefixes(docs, shared).select("h", "node").groupBy("h").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last").select("h", "head"), "heads")
@@ -160,7 +160,7 @@ def near_roots(docs: DataFrame, sketch: np.ndarray, known: DataFrame) -> DataFra
     own = members.where("node = head").select("h", F.col("size").alias("size1"), F.col("left").alias("left1"))
     fits = alike(F.least("left", "left1"), F.col("size"), F.col("size1"))
     star = save(members.where("node > head").join(own, "h").where(fits).select(F.col("head").alias("u"), F.col("node").alias("v")).distinct(), "star")
-    joined = components(known).select(F.col("node").alias("n"), F.col("root").alias("r"))
+    joined = known.select(F.col("v").alias("n"), F.col("u").alias("r"))  # stars already
     for end in ("u", "v"):  # pairs that SimHash has joined need no confirmation
         star = star.join(joined.withColumnsRenamed({"n": end, "r": f"r{end}"}), end, "left").withColumn(f"r{end}", F.coalesce(f"r{end}", end))
     star = save(star, "rooted")
