@@ -38,6 +38,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces of what the stages keep, as `packing.pack` returns them.
+
+    Nulls, empty and long texts and repeated rows are treated as each stage's operator says. Columns of documents, whatever
+    their names, come along until packing. No rows give no rows."""
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
