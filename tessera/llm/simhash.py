@@ -116,7 +116,21 @@ def labels(up: np.ndarray, depth: int) -> list[np.ndarray]:
 
 
 def forest_of(first: np.ndarray, second: np.ndarray | None, lead: int, bits: int) -> np.ndarray:
-    """A spanning forest (rows of two codes) of the links between two sorted arrays of codes, or within the first alone.
+    """A spanning forest of the links between two sorted arrays of codes, or within the first alone: rows of two linked codes."""
+    codes, _, found = linked(first, second, lead, bits)
+    return codes[np.array(found, np.int64).reshape(-1, 2)]
+
+
+def stars_of(first: np.ndarray, second: np.ndarray | None, lead: int, bits: int) -> np.ndarray:
+    """The components of those links as stars, which later rounds join sooner: rows of a code and the first one of its component."""
+    codes, forest, _ = linked(first, second, lead, bits)
+    forest.flatten()
+    some = np.flatnonzero(forest.up != np.arange(len(codes)))
+    return codes[np.stack([some, forest.up[some]], axis=1)]
+
+
+def linked(first: np.ndarray, second: np.ndarray | None, lead: int, bits: int) -> tuple[np.ndarray, "Forest", list[tuple[int, int]]]:
+    """The codes of both arrays, their forest, and the links, as places of codes, that joined two trees of it.
 
     Only codes that agree on the bits of lead are linked. One chunk of node pairs is followed down at a time."""
     same, lead = second is None, U64(lead)
@@ -159,7 +173,7 @@ def forest_of(first: np.ndarray, second: np.ndarray | None, lead: int, bits: int
         x = (i[:, None] * FAN + np.arange(FAN)) if k < len(a) else i[:, None]
         y = (j[:, None] * FAN + np.arange(FAN)) if k < len(b) else j[:, None]
         stack.append((k - 1, *surviving(k - 1, np.repeat(x, y.shape[1], axis=1).ravel(), np.tile(y, (1, x.shape[1])).ravel())))
-    return codes[np.array(found, np.int64).reshape(-1, 2)]
+    return codes, forest, found
 
 
 class Forest:
@@ -171,14 +185,15 @@ class Forest:
     def add(self, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
         up, out = self.up, []
         differ = up[i] != up[j]
-        for x, y in zip(i[differ].tolist(), j[differ].tolist(), strict=True):
+        for a, b in zip(i[differ].tolist(), j[differ].tolist(), strict=True):
+            x, y = a, b
             while up[x] != x:
                 up[x] = x = up[up[x]]
             while up[y] != y:
                 up[y] = y = up[up[y]]
             if x != y:
                 up[max(x, y)] = min(x, y)
-                out.append((x, y))
+                out.append((a, b))
         return out
 
     def flatten(self) -> None:
@@ -219,13 +234,13 @@ def near_pairs(codes: DataFrame, bits: int = BITS, block: int = BLOCK, task_rows
                     ones, zeros = (int(np.bitwise_and.reduce(p).view(np.int64)) for p in (part, ~part))
                     yield pa.RecordBatch.from_pydict({"order": pa.array([k], pa.int32()), "lead": pa.array(lead[x : x + 1].view(np.int64)), "ones": [ones], "zeros": [zeros], "body": pa.array([part.tobytes()], pa.binary()), "u": pa.nulls(1, pa.int64()), "v": pa.nulls(1, pa.int64())})
             if low < high:
-                got = forest_of(some[low:high], None, every[k][1], bits).view(np.int64)
+                got = stars_of(some[low:high], None, every[k][1], bits).view(np.int64)
                 none = pa.nulls(len(got), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.nulls(len(got), pa.int32()), none, none, none, pa.nulls(len(got), pa.binary()), pa.array(np.ascontiguousarray(got[:, 0])), pa.array(np.ascontiguousarray(got[:, 1]))], names=["order", "lead", "ones", "zeros", "body", "u", "v"])
 
     def compare(t: pa.Table) -> pa.Table:
         both = [np.frombuffer(x, U64) for _, x in sorted(zip(t["side"].to_pylist(), t["body"].to_pylist(), strict=True))]
-        got = forest_of(both[0], both[1] if len(both) > 1 else None, every[t["order"][0].as_py()][1], bits).view(np.int64)
+        got = stars_of(both[0], both[1] if len(both) > 1 else None, every[t["order"][0].as_py()][1], bits).view(np.int64)
         return pa.table({"u": np.ascontiguousarray(got[:, 0]), "v": np.ascontiguousarray(got[:, 1])})
 
     parts = max(per_partition(codes), -(-n * len(every) // task_rows))
