@@ -6,9 +6,10 @@ likeness of 0.8 or more are linked as well, and only pairs that SimHash has not
 
 The search for those candidates is a prefix filter, which loses no pair: with all shingles in one order, two such sets share one
 among the first fifth of each. The order goes by a sketch of how often shingles occur, rare ones first, so that a common
-passage makes few candidates; any order would find the same links. Pairs are confirmed on the whole sets, in two rounds:
-first each text that shares a prefix shingle with the smallest node that has it, then the pairs of such texts that are still
-in different components. So a group of near copies costs a pair for each text and shingle, not all its pairs.
+passage makes few candidates; any order would find the same links. Pairs are confirmed on the whole sets, in three
+rounds: first every text is paired, for each of its prefix shingles, with one text of another component, then with some CELL
+texts; the last round takes all pairs of texts that share one and are still in different components. So a group of near copies
+costs some pairs for each text and shingle, not all its pairs.
 """
 
 import numpy as np
@@ -22,6 +23,8 @@ from .common import U64, among, bloom, drop_rows, one_of_each, prepare, save, sp
 from .components import components
 
 WORDS = 5
+#: Texts of a shingle that meet each other in the second round.
+CELL = 32
 #: The sketch: 2 ** CELLS counts, which tasks send in slices.
 CELLS, SLICE = 20, 1 << 16
 #: Rows of prefixes that a task sends at once.
@@ -155,27 +158,41 @@ def near_roots(docs: DataFrame, sketch: np.ndarray, known: DataFrame) -> DataFra
     """node, root for each node that isn't the smallest of its component. known: links that hold already, of each node v with the smallest one u of its component."""
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast(sketch)
-    heads = save(prefixes(docs, shared).select("h", "node").groupBy("h").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last").select("h", "head"), "heads")
-    members = save(prefixes(docs, shared, sc.broadcast(bloom(heads, "h"))).distinct().join(heads, "h"), "members")
-    own = members.where("node = head").select("h", F.col("size").alias("size1"), F.col("left").alias("left1"))
-    fits = alike(F.least("left", "left1"), F.col("size"), F.col("size1"))
-    star = save(members.where("node > head").join(own, "h").where(fits).select(F.col("head").alias("u"), F.col("node").alias("v")).distinct(), "star")
-    joined = known.select(F.col("v").alias("n"), F.col("u").alias("r"))  # stars already
-    for end in ("u", "v"):  # pairs that SimHash has joined need no confirmation
-        star = star.join(joined.withColumnsRenamed({"n": end, "r": f"r{end}"}), end, "left").withColumn(f"r{end}", F.coalesce(f"r{end}", end))
-    star = save(star, "rooted")
-    links = confirmed(docs, star.where("ru <> rv").select("u", "v")).unionByName(known)
-    star, roots = star.select("u", "v"), components(links)
-
-    named = save(members.select("h", "node", "size", "left").join(roots.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select("h", "node", "size", "left", F.coalesce("root", "node").alias("root")), "named")
-    mixed = named.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("h")
-    a = named.join(mixed, "h")
-    b = a.select("h", *[F.col(c).alias(f"{c}2") for c in ("node", "size", "left", "root")])
-    cross = a.join(b, "h").where("node < node2 and root <> root2").where(alike(F.least("left", "left2"), F.col("size"), F.col("size2"))).select(F.col("node").alias("u"), F.col("node2").alias("v")).distinct()
-    cross = save(cross.join(star, ["u", "v"], "left_anti"), "cross")
-    if cross.isEmpty():
-        return roots
-    return components(links.unionByName(confirmed(docs, cross)))
+    several = save(prefixes(docs, shared).select("h", "node").groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("h"), "shared")
+    members = save(prefixes(docs, shared, sc.broadcast(bloom(several, "h"))).distinct().join(several, "h"), "members")
+    links, roots, tested = known, known.select(F.col("v").alias("node"), F.col("u").alias("root")), None
+    for paired in (linear_pairs, lambda x: all_pairs(x, CELL), all_pairs):
+        of = roots.withColumnRenamed("node", "_n")
+        named = save(members.join(of, F.col("node") == F.col("_n"), "left").select("h", "node", "size", "left", F.coalesce("root", "node").alias("root")), "named")
+        pairs = paired(named)
+        if tested is not None:
+            pairs = pairs.join(tested, ["u", "v"], "left_anti")
+        pairs = save(pairs, "pairs")
+        if not pairs.isEmpty():
+            links = links.unionByName(confirmed(docs, pairs))
+            roots = components(links)
+            tested = pairs if tested is None else tested.unionByName(pairs)
+    return roots
+
+
+def linear_pairs(named: DataFrame) -> DataFrame:
+    """u, v: each text that has a shingle with one text of another component that has it, the smallest or the largest component's."""
+    one = F.struct("root", "node", "size", "left")
+    ends = named.groupBy("h").agg(F.min(one).alias("low"), F.max(one).alias("high")).where("low.root < high.root")
+    both = named.join(ends, "h").withColumn("far", F.when(F.col("root") == F.col("low.root"), F.col("high")).otherwise(F.col("low")))
+    fits = both.where(alike(F.least("left", "far.left"), F.col("size"), F.col("far.size")))
+    return fits.select(F.least("node", "far.node").alias("u"), F.greatest("node", "far.node").alias("v")).distinct()
+
+
+def all_pairs(named: DataFrame, cell: int | None = None) -> DataFrame:
+    """u, v: all pairs of texts of different components that share a shingle.
+
+    cell: only pairs within cells of about so many texts, to which a hash deals those of a shingle."""
+    mixed = named.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").select("h", "n")
+    a = named.join(mixed, "h").withColumn("cell", F.pmod(F.xxhash64("h", "node"), F.ceil(F.col("n") / cell)) if cell else F.lit(0)).drop("n")
+    b = a.select("h", "cell", *[F.col(c).alias(f"{c}2") for c in ("node", "size", "left", "root")])
+    fits = a.join(b, ["h", "cell"]).where("node < node2 and root <> root2").where(alike(F.least("left", "left2"), F.col("size"), F.col("size2")))
+    return fits.select(F.col("node").alias("u"), F.col("node2").alias("v")).distinct()
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
