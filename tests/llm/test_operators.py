@@ -102,6 +102,23 @@ def test_lz_fingerprints(docs, rows, empty):
     assert np.mean(err) < 0.06
 
 
+@pytest.mark.parametrize("path", [WORD_BPE, BYTE_BPE])
+def test_a_full_cache_keeps_what_is_met_most(path, monkeypatch):
+    r = random.Random(5)
+    monkeypatch.setattr(tokens, "CACHE", 200)
+    t, of, asked = library(path), tokens.Encoder(path), collections.Counter()
+    word = of.word
+    monkeypatch.setattr(of, "word", lambda x: asked.update([x]) or word(x))
+    often = ["alpha", "beta", "gamma", "delta"]
+    for _ in range(30):  # each call brings 60 words that no other has, so the cache overflows again and again
+        texts = [" ".join([*often, *("".join(r.choice("abcdefghij") for _ in range(12)) for _ in range(30)), end]) for end in ("x", "a?!$ Alpha BETA, ÉTÉ'")]
+        texts.append("z" * 70 + " 1'a(b)c.. <|endoftext|> " + "é" * 70 + "%")
+        assert [np.frombuffer(g, "<u4").tolist() for g in of.encode(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    # The first word of a text has no blank before it, and the layout that keeps blanks and case has a form for each.
+    assert all(n == 1 for x, n in asked.items() if x.strip().lower() in often)
+    assert len(of.known) <= 200 and not any(len(x) > tokens.LONGEST_PIECE for x in of.known)
+
+
 def test_lz_with_null_ids_and_one_row(spark, rows):
     one = frame(spark, [(None, "ab ab", *rows[0][2:])])
     (got,) = rows_of(lz.neighbour_likeness(one))
