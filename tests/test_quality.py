@@ -70,6 +70,28 @@ def test_near_duplicates_equal_the_greedy_walk(spark, threshold):
     assert got == {name[t]: name[x] for t, x in greedy(texts, threshold).items()}
 
 
+@pytest.mark.parametrize("size", [5, 16384])
+def test_near_duplicates_in_blocks(spark, monkeypatch, size):
+    """Blocks of any size give the greedy walk; texts that only share passages are not compared; nothing is broadcast."""
+    r = random.Random(7)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    apart = ["the same long passage of words, " + " ".join(word() for _ in range(r.randint(12, 30))) for _ in range(40)]
+    texts = apart + [t[:k] + t[k + 1 :] for t in apart[:12] for k in (40, 60)]
+    calls = []
+    ratio = quality.indel_ratio
+    monkeypatch.setattr(quality, "indel_ratio", lambda a, b: calls.append(1) or ratio(a, b))
+    assert list(quality.alike_pairs(apart, None, 0.95)) == [] and len(calls) < 20
+    assert {(x, y - 40) for x, y in quality.alike_pairs(texts, None, 0.95) if x < 40 <= y} | {(y, x - 40) for x, y in quality.alike_pairs(texts, None, 0.95) if y < 40 <= x} == set(quality.alike_pairs(apart, texts[40:], 0.95))
+    monkeypatch.setattr(quality, "indel_ratio", ratio)
+    monkeypatch.setattr(quality, "BLOCK_TEXTS", size)
+    df = segs(spark, [("E", "A", float(k), k + 1.0, t) for k, t in enumerate(texts)])
+    near = quality.near_duplicates(df, "id", 0.95)
+    name = {t: f"s{k:03d}" for k, t in enumerate(texts)}
+    assert {x.id: x.leader_id for x in near.collect()} == {name[t]: name[x] for t, x in greedy(texts, 0.95).items()}
+    assert "Broadcast" not in near._jdf.queryExecution().executedPlan().toString()
+    assert quality.near_duplicates(df.where("false"), "id").count() == 0
+
+
 def test_exact_duplicates(spark):
     t = "a text that is long enough"
     df = segs(spark, [("E", "A", 0.0, 1.0, t), ("E", "A", 10.0, 11.0, t.upper() + " "), ("E", "A", 400.0, 401.0, t), ("E", "B", 0.0, 1.0, t), ("F", "A", 0.0, 1.0, t), ("E", None, 1.0, 2.0, t), ("E", None, 1.0, 2.0, t), ("E", "A", 0.0, 1.0, "short"), ("E", "A", 0.0, 1.0, "short"), (None, "A", 0.0, 1.0, t)])
