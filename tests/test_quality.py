@@ -127,6 +127,18 @@ def test_distribution(spark):
         quality.duration_of(spark.range(1))
 
 
+def test_percentiles_are_exact_and_bounded(spark, monkeypatch):
+    """As NumPy's, whatever is left to fetch; no aggregate keeps all values."""
+    r = np.random.default_rng(4)
+    for x in (r.normal(50, 20, 999), np.array([3.5]), np.repeat([1.0, 2.0, 1e300, np.inf], [5, 1, 2, 9]), np.concatenate([r.exponential(5, 200) - 4, [0.0, -0.0, 1e-310]])):
+        df = spark.createDataFrame([(float(v),) for v in x], "duration double").repartition(3)
+        for most in (1 << 16, 20, 0):
+            monkeypatch.setattr(quality, "VALUES_LEFT", most)
+            assert quality.percentiles(df, [0.0, 0.05, 0.5, 0.95, 1.0]) == pytest.approx([df.agg(F.percentile("duration", F.lit(p))).first()[0] for p in (0.0, 0.05, 0.5, 0.95, 1.0)], rel=1e-12)
+    assert quality.percentiles(df.where("false"), [0.5]) == [None]
+    assert "percentile" not in quality.duration_statistics(df)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_integrity(spark):
     df = segs(spark, [("E", "A", 0.0, 5.0, "x"), ("E", "B", 4.0, 6.0, "y"), ("E", "A", 6.0, 6.0, ""), ("", None, 9.0, 8.0, None), ("E", "A", -1.0, None, "z")])
     c = first(quality.integrity_counts(df, "id"))
