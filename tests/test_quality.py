@@ -1,7 +1,9 @@
+import contextlib
 import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -16,6 +18,16 @@ def segs(spark, rows):
     return spark.createDataFrame([(f"s{k:03d}", *r) for k, r in enumerate(rows)], SEG)
 
 
+@contextlib.contextmanager
+def spark_conf(spark, key, value):
+    old = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def first(df):
     return df.first().asDict(recursive=True)
 
@@ -238,6 +250,28 @@ def test_top_k_is_exact(spark, metric):
     assert vectors.top_k(df.where("false"), df, id_col="id").count() == 0
 
 
+@pytest.mark.parametrize("metric", ["cosine", "ip", "l2"])
+def test_top_k_in_blocks_with_ties(spark, monkeypatch, metric):
+    """Blocks of any size and repeated vectors give the same k; a task returns k rows for a query, however many blocks it has."""
+    r = np.random.default_rng(9)
+    v = r.integers(-2, 3, (90, 3)).astype(float)
+    v[20:50] = v[20]
+    df = spark.createDataFrame([(int(7 * k % 90), [float(x) for x in v[k]]) for k in range(90)], "artifact_id long, embedding array<float>").repartition(1)
+    by = {int(7 * k % 90): v[k] for k in range(90)}
+    want = set()
+    for x in range(0, 90, 3):
+        s = {y: (by[x] @ by[y] if metric == "ip" else -((by[x] - by[y]) ** 2).sum() if metric == "l2" else by[x] @ by[y] / ((np.linalg.norm(by[x]) + 1e-8) * (np.linalg.norm(by[y]) + 1e-8))) for y in by if y != x}
+        want |= {(x, y, k + 1) for k, y in enumerate(sorted(s, key=lambda y: (-round(s[y], 6), y))[:4])}
+    for block in ((4, 7), (1024, 2048)):
+        monkeypatch.setattr(vectors, "BLOCK", block)
+        got = vectors.top_k(df.where("artifact_id % 3 = 0"), df, 4, metric)
+        assert {(x.query_id, x.neighbor_id, x["rank"]) for x in got.collect()} == want
+    with spark_conf(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "5"):
+        q = pa.array([0, 3])
+        rows = vectors._pass(df, q, np.array([by[0], by[3]]), 4, metric, True, "query_id long, neighbor_id long, score double").collect()
+    assert len(rows) == 8
+
+
 def test_neighbour_metrics(spark):
     df, _ = corpus(spark)
     near = vectors.top_k(df, df, 5, id_col="id").persist()
