@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tessera import schemas
 from tessera.config import Config, expand, merge
 from tessera.functions import identity, numbers, text, vectors
+from tessera.plans.catalogue import QUERIES
 
 
 def one(spark, column, **values):
@@ -67,6 +68,20 @@ def test_text(spark):
     assert len(set(text.STOP_TERMS)) > len(set(text.STOP_THEMES)) > len(set(text.STOP_LIKENESS))
 
 
+def test_texts_are_cut_into_words_once_for_both_measures(spark, monkeypatch, tmp_path):
+    """lexical_similarity makes each text's word set once, before the join, and repeats, nulls and empty texts count as before."""
+    texts = ["The cat, the CAT sat; a dog " * 3, "cat sat  \u00a0mat", None, "", "\u00a0 -- 12"]
+    rows = [(k, t, "en", "s") for k, t in enumerate(texts)] + [(k + 20, t, "en", "s") for k, t in enumerate(texts[1:] + texts[:1])]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    df = QUERIES["lexical_similarity"](spark, str(tmp_path))
+    words = lambda t: {w for x in (t or "").lower().split() if len(w := x.strip(text.STRIP_THEMES)) >= 2 and x not in text.STOP_LIKENESS and any(c.isalpha() for c in x)}
+    want = {k: (words(a), words(b)) for k, (a, b) in enumerate(zip(texts, texts[1:] + texts[:1], strict=True))}
+    got = {r.id_a: (r.jaccard, r.dice) for r in df.collect()}
+    assert got == {k: (round(len(a & b) / len(a | b), 9), round(2 * len(a & b) / (len(a) + len(b)), 9)) if a and b else (0, 0) for k, (a, b) in want.items()}
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan and "Join" in plan
+
+
 def test_vectors(spark):
     a, b = F.array(*map(F.lit, (3.0, 4.0))), F.array(*map(F.lit, (4.0, -3.0)))
     assert one(spark, vectors.norm(a)) == 5 and one(spark, vectors.dot(a, b)) == 0
